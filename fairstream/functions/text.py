@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 def split_lines(text: Column) -> Column:
     """The lines a text-file reader would see: LF, CR or CRLF ends a line, and a final line end
     does not start another line."""
-    return F.split(F.regexp_replace(text, "(\r\n|\r|\n)$", ""), "\r\n|\r|\n", -1)
+    unix = F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")) \
+        .otherwise(text)
+    # a single-character separator needs no regular expression
+    parts = F.split(unix, "\n", -1)
+    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)) \
+        .otherwise(parts)
 
 
 def split_words(line: Column, drop_trailing: bool = True) -> Column:
