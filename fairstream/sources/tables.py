@@ -9,6 +9,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int = 1000) \
+        -> DataFrame:
+    """The same table as a stream of its files."""
+    schema = read_table(spark, folder, name).schema
+    # as a pattern, the path may be a single file as well as a folder
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch) \
+        .parquet(f"{folder}/{name}.parque[t]")
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """The rows over all cores when the scan has fewer splits than there are cores.
 
