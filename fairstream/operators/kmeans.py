@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fairstream.operators.assign import as_centers
 from fairstream.operators.blocks import pack_points
-from fairstream.operators.moments import group_cluster_moments
+from fairstream.operators.moments import Moments, collect_moments, group_cluster_moments
 
 SEARCH_ROUNDS = 10
 
@@ -52,8 +52,7 @@ def kmeans_centers(points: DataFrame, k: int, max_iter: int, seed: int = 1, init
     centers = as_centers(init_centers)
     with packed(points, centers.shape[1], storage) as blocks:
         for _ in range(max_iter):
-            rows = group_cluster_moments(blocks, centers).select("cid", "n", "mu").collect()
-            moved = _pooled_means(rows, centers)
+            moved = _pooled_means(collect_moments(blocks, centers), centers)
             shift = ((moved - centers) ** 2).sum(axis=1).max()
             centers = moved
             if shift <= tol * tol:
@@ -61,16 +60,13 @@ def kmeans_centers(points: DataFrame, k: int, max_iter: int, seed: int = 1, init
     return centers
 
 
-def _pooled_means(rows: list, centers: np.ndarray) -> np.ndarray:
+def _pooled_means(moments: Moments, centers: np.ndarray) -> np.ndarray:
     """The mean point of each cluster over both groups; empty clusters keep their center."""
-    weight = np.zeros(len(centers))
-    total = np.zeros_like(centers)
-    for r in rows:
-        weight[r["cid"]] += r["n"]
-        total[r["cid"]] += r["n"] * np.asarray(r["mu"])
+    weight = np.bincount(moments.cid, moments.n, minlength=len(centers))
     moved = centers.copy()
-    filled = weight > 0
-    moved[filled] = total[filled] / weight[filled, None]
+    for d in range(centers.shape[1]):
+        total = np.bincount(moments.cid, moments.n * moments.mu[:, d], minlength=len(centers))
+        np.divide(total, weight, out=moved[:, d], where=weight > 0)
     return moved
 
 
@@ -81,16 +77,16 @@ def _library_kmeans(points: DataFrame, k: int, max_iter: int, seed: int,
     if k == 1:
         return _mean_point(points)
     vectors = points.select(array_to_vector("coords").alias("features"))
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, tol=tol, initMode="k-means||").fit(vectors)
+    # "row" as coordinates are dense; "auto" would read all points once more to find that out
+    model = KMeans(k=k, maxIter=max_iter, seed=seed, tol=tol, initMode="k-means||",
+                   solver="row").fit(vectors)
     return np.asarray(model.clusterCenters())
 
 
 def _mean_point(points: DataFrame) -> np.ndarray:
     # the library wants k > 1
     dim = points.select(F.size("coords")).head()[0]
-    row = group_cluster_moments(points, [[0.0] * dim]).select("n", "mu").collect()
-    weights = np.array([r["n"] for r in row], dtype=float)
-    return np.average(np.array([r["mu"] for r in row]), axis=0, weights=weights)[None, :]
+    return _pooled_means(collect_moments(points, np.zeros((1, dim))), np.zeros((1, dim)))
 
 
 def kmeans_init(points: DataFrame, k: int, seed: int = 1) -> np.ndarray:
@@ -132,13 +128,13 @@ def fair_line_search(params: DataFrame) -> DataFrame:
     return columns.groupBy().applyInPandas(search, "cid int, x double")
 
 
-def next_centers(cid: np.ndarray, is_a: np.ndarray, n: np.ndarray, mu: np.ndarray,
-                 ssd: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """The fair update of the centers from the (at most 2K) moments.
+def next_centers(moments: Moments, centers: np.ndarray) -> np.ndarray:
+    """The fair update of the centers.
 
     A cluster without points keeps its center. One with a single group moves to that group's
     mean, and so does one whose two means coincide.
     """
+    cid, is_a, n, mu, ssd = moments
     k = len(centers)
     count = np.zeros((2, k))
     mean = np.zeros((2, *centers.shape))
@@ -166,9 +162,9 @@ def fair_kmeans_step(points: DataFrame, centers) -> DataFrame:
     centers = as_centers(centers)
 
     def update(pdf: pd.DataFrame) -> pd.DataFrame:
-        moved = next_centers(pdf["cid"].to_numpy(), (pdf["grp"] == "A").to_numpy(),
-                             pdf["n"].to_numpy(), np.stack(pdf["mu"]), pdf["ssd"].to_numpy(),
-                             centers)
+        moved = next_centers(
+            Moments(pdf["cid"].to_numpy(), (pdf["grp"] == "A").to_numpy(), pdf["n"].to_numpy(),
+                    np.stack(pdf["mu"]), pdf["ssd"].to_numpy()), centers)
         return pd.DataFrame({"cid": range(len(moved)), "coords": list(moved)})
 
     # at most 2K rows in the single group
@@ -189,11 +185,5 @@ def fair_kmeans(points: DataFrame, k: int | None = None, max_iter: int = 10, ini
     centers = kmeans_init(points, k, seed) if init_centers is None else as_centers(init_centers)
     with packed(points, centers.shape[1], storage) as blocks:
         for _ in range(max_iter):
-            rows = group_cluster_moments(blocks, centers).collect()
-            if not rows:
-                raise ValueError("fair k-means needs at least one point of each group")
-            centers = next_centers(
-                np.array([r["cid"] for r in rows]), np.array([r["grp"] == "A" for r in rows]),
-                np.array([r["n"] for r in rows]), np.array([r["mu"] for r in rows]),
-                np.array([r["ssd"] for r in rows]), centers)
+            centers = next_centers(collect_moments(blocks, centers), centers)
     return centers

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -41,15 +43,20 @@ def _moments_by_expressions(points: DataFrame, centers: np.ndarray) -> DataFrame
                         (F.col("n") * spread).alias("ssd"))
 
 
-def _moments_by_arrow(points: DataFrame, centers: np.ndarray) -> DataFrame:
+def _partial_sums(points: DataFrame, centers: np.ndarray) -> tuple[DataFrame, list[str]]:
+    """Each task's sums per (cluster, group), and the names of the columns that add up.
+
+    ``o0, o1, ...`` are sums of offsets from the nearest center; those stay small and so lose no
+    digits.
+    """
     k, dim = centers.shape
     dims = range(dim)
+    sums = ["n", "cost", *[f"o{d}" for d in dims]]
 
     def partial(batches):
-        # sums of offsets from the nearest center, which stay small and so lose no digits
         n = np.zeros(2 * k, dtype=np.int64)
         cost = np.zeros(2 * k)
-        offset = np.zeros((2 * k, dim))
+        offset = np.zeros((dim, 2 * k))
         for x, flag in batches:
             cid, sqdist = nearest(x, centers)
             key = 2 * cid + flag
@@ -57,29 +64,52 @@ def _moments_by_arrow(points: DataFrame, centers: np.ndarray) -> DataFrame:
             cost += np.bincount(key, sqdist, minlength=2 * k)
             gap = x - centers[cid]
             for d in dims:
-                offset[:, d] += np.bincount(key, gap[:, d], minlength=2 * k)
+                offset[d] += np.bincount(key, gap[:, d], minlength=2 * k)
         used = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays(
-            [pa.array((used // 2).astype(np.int32)),
-             pa.array(np.where(used % 2, "A", "B").tolist(), pa.string()),
-             pa.array(n[used]), pa.array(cost[used]),
-             pa.array(offset[used].tolist(), pa.list_(pa.float64())),
-             pa.array(centers[used // 2].tolist(), pa.list_(pa.float64()))],
-            ["cid", "grp", "n", "cost", "offset", "center"])
-
-    schema = ("cid int, grp string, n long, cost double, offset array<double>, "
-              "center array<double>")
-    sums = map_points(points, dim, partial, schema).groupBy("cid", "grp").agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-        F.any_value("center").alias("center"),
-        *[F.sum(F.col("offset")[d]).alias(f"_o{d}") for d in dims])
-    shift = F.array(*[F.col(f"_o{d}") / F.col("n") for d in dims])
+            [pa.array((used // 2).astype(np.int32)), pa.array(used % 2 == 1),
+             pa.array(centers[used // 2].tolist(), pa.list_(pa.float64())),
+             pa.array(n[used]), pa.array(cost[used]), *[pa.array(o[used]) for o in offset]],
+            ["cid", "is_a", "center", *sums])
+
+    schema = "cid int, is_a boolean, center array<double>, n long, " + ", ".join(
+        f"{c} double" for c in sums[1:])
+    return map_points(points, dim, partial, schema), sums
+
+
+def _moments_by_arrow(points: DataFrame, centers: np.ndarray) -> DataFrame:
+    partials, sums = _partial_sums(points, centers)
+    totals = partials.groupBy("cid", "is_a").agg(
+        F.any_value("center").alias("center"), *[F.sum(c).alias(c) for c in sums])
+    shift = F.array(*[F.col(c) / F.col("n") for c in sums[2:]])
     moved = F.aggregate("shift", F.lit(0.0), lambda acc, v: acc + v * v)
-    return sums.withColumn("shift", shift).select(
-        "cid", "grp", "n", F.zip_with("center", "shift", lambda c, o: c + o).alias("mu"),
+    return totals.withColumn("shift", shift).select(
+        "cid", F.when(F.col("is_a"), "A").otherwise("B").alias("grp"), "n",
+        F.zip_with("center", "shift", lambda c, o: c + o).alias("mu"),
         F.greatest(F.col("cost") - F.col("n") * moved, F.lit(0.0)).alias("ssd"))
 
 
+class Moments(NamedTuple):
+    """The rows of :func:`group_cluster_moments` as arrays, in no particular order."""
+
+    cid: np.ndarray
+    is_a: np.ndarray
+    n: np.ndarray
+    mu: np.ndarray
+    ssd: np.ndarray
+
+
+def collect_moments(points: DataFrame, centers: np.ndarray) -> Moments:
+    """The moments on the driver, for a loop: one aggregation that returns at most 2K rows."""
+    partials, sums = _partial_sums(points, centers)
+    rows = partials.groupBy("cid", "is_a").sum(*sums).collect()
+    cid = np.array([r[0] for r in rows], dtype=np.int64)
+    n, cost, *offsets = np.array([r[2:] for r in rows], dtype=float).reshape(-1, len(sums)).T
+    shift = np.array(offsets).T / n[:, None]
+    return Moments(cid, np.array([r[1] for r in rows], dtype=bool), n, centers[cid] + shift,
+                   np.maximum(cost - n * (shift * shift).sum(axis=1), 0.0))
+
+
 def fair_cluster_params(moments: DataFrame) -> DataFrame:
     """Per cluster: ``alpha`` and ``beta``, its share of A and of B; ``mu_a`` and ``mu_b``, the
     group means; ``ell``, their distance (null when the cluster lacks a group); and on every row

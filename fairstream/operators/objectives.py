@@ -27,9 +27,12 @@ def group_sizes(points: DataFrame) -> DataFrame:
     )
 
 
-def group_costs(points: DataFrame, *center_sets) -> DataFrame:
-    """Per group present in the data: ``n`` and, for each center set i, ``cost{i}``, the sum of
-    squared distances to the nearest center. All sets are evaluated in one pass."""
+def _costs(points: DataFrame, center_sets) -> tuple[DataFrame, list[str]]:
+    """Rows ``(grp, n, cost0, cost1, ...)`` to be added up, and the names of the cost columns.
+
+    Center set i gives ``cost{i}``, squared distances to its nearest center. With few centers there
+    is a row per point, still inside codegen; with many, a row per group and task.
+    """
     sets = [as_centers(c) for c in center_sets]
     if any(len(c) == 0 for c in sets):
         raise ValueError("no centers")
@@ -37,28 +40,41 @@ def group_costs(points: DataFrame, *center_sets) -> DataFrame:
         raise ValueError("center sets differ in dimension")
     costs = [f"cost{i}" for i in range(len(sets))]
     if not is_packed(points) and all(fits_expressions(c) for c in sets):
-        out = points
         for name, centers in zip(costs, sets):
-            out = with_nearest_expressions(out, centers, None, name)
-        return out.groupBy("grp").agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in costs])
+            points = with_nearest_expressions(points, centers, None, name)
+        return points.select("grp", F.lit(1).cast("long").alias("n"), *costs), costs
 
     def partial(batches):
-        total = np.zeros((2, 1 + len(sets)))
+        total = np.zeros((1 + len(sets), 2))
         for x, flag in batches:
             group = flag.astype(np.int64)
-            total[:, 0] += np.bincount(group, minlength=2)
+            total[0] += np.bincount(group, minlength=2)
             for i, centers in enumerate(sets):
-                total[:, 1 + i] += np.bincount(group, nearest(x, centers)[1], minlength=2)
-        arrays = [pa.array(["B", "A"]), pa.array(total[:, 0].astype(np.int64))]
-        arrays += [pa.array(total[:, 1 + i]) for i in range(len(sets))]
-        yield pa.RecordBatch.from_arrays(arrays, ["grp", "n", *costs]).filter(
-            pa.array(total[:, 0] > 0))
+                total[1 + i] += np.bincount(group, nearest(x, centers)[1], minlength=2)
+        used = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(["BA"[g] for g in used], pa.string()),
+             pa.array(total[0, used].astype(np.int64)), *[pa.array(t[used]) for t in total[1:]]],
+            ["grp", "n", *costs])
 
     schema = "grp string, n long, " + ", ".join(f"{c} double" for c in costs)
-    partials = map_points(points, sets[0].shape[1], partial, schema)
-    return partials.groupBy("grp").agg(
-        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in costs])
+    return map_points(points, sets[0].shape[1], partial, schema), costs
+
+
+def group_costs(points: DataFrame, *center_sets) -> DataFrame:
+    """Per group present in the data: ``n`` and, for each center set i, ``cost{i}``, the sum of
+    squared distances to the nearest center. All sets are evaluated in one pass."""
+    rows, costs = _costs(points, center_sets)
+    return rows.groupBy("grp").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in costs])
+
+
+def _fair(cost: str) -> Column:
+    """The larger group mean; an absent group gives null, which ``greatest`` passes over."""
+
+    def mean(group: Column) -> Column:
+        return F.try_divide(F.sum(F.when(group, F.col(cost))), F.sum(F.when(group, F.col("n"))))
+
+    return F.greatest(mean(is_a()), mean(~is_a()))
 
 
 def standard_objective(points: DataFrame, centers) -> DataFrame:
@@ -69,7 +85,8 @@ def standard_objective(points: DataFrame, centers) -> DataFrame:
     centers = as_centers(centers)
     if len(centers) == 0:
         return points.agg(F.lit(0.0).alias("delta"))
-    return group_costs(points, centers).agg((F.sum("cost0") / F.sum("n")).alias("delta"))
+    rows, _ = _costs(points, [centers])
+    return rows.agg(F.try_divide(F.sum("cost0"), F.sum("n")).alias("delta"))
 
 
 def fair_objective(points: DataFrame, centers) -> DataFrame:
@@ -80,16 +97,15 @@ def fair_objective(points: DataFrame, centers) -> DataFrame:
     centers = as_centers(centers)
     if len(centers) == 0:
         return points.agg(F.lit(0.0).alias("phi"))
-    return group_costs(points, centers).agg(F.max(F.col("cost0") / F.col("n")).alias("phi"))
+    rows, _ = _costs(points, [centers])
+    return rows.agg(_fair("cost0").alias("phi"))
 
 
 def compare_centers(points: DataFrame, standard, fair) -> DataFrame:
     """One row ``(phi_standard, phi_fair, ratio)`` from a single pass over the points."""
-    costs = group_costs(points, standard, fair).agg(
-        F.max(F.col("cost0") / F.col("n")).alias("phi_standard"),
-        F.max(F.col("cost1") / F.col("n")).alias("phi_fair"),
-    )
-    return costs.withColumn("ratio", F.try_divide("phi_standard", "phi_fair"))
+    rows, _ = _costs(points, [standard, fair])
+    both = rows.agg(_fair("cost0").alias("phi_standard"), _fair("cost1").alias("phi_fair"))
+    return both.withColumn("ratio", F.try_divide("phi_standard", "phi_fair"))
 
 
 def cluster_stats(points: DataFrame, centers) -> DataFrame:
