@@ -11,10 +11,9 @@ def split_lines(text: Column) -> Column:
     does not start another line."""
     unix = F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")) \
         .otherwise(text)
+    body = F.when(F.endswith(unix, F.lit("\n")), F.left(unix, F.length(unix) - 1)).otherwise(unix)
     # a single-character separator needs no regular expression
-    parts = F.split(unix, "\n", -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)) \
-        .otherwise(parts)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
 
 
 def split_words(line: Column, drop_trailing: bool = True) -> Column:

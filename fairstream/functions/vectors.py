@@ -18,17 +18,7 @@ def squared_distance(coords: Column, center: Sequence[float]) -> Column:
 
 
 def checked_dimension(value: Column, coords: Column, dim: int) -> Column:
-    """``value``, or an error for a row whose point is not ``dim``-dimensional.
-
-    Written with ``get`` so that it folds away when ``coords`` is a literal list of columns.
-    """
+    """``value``, or an error for a row whose point is not ``dim``-dimensional."""
     fits = F.get(coords, F.lit(dim - 1)).isNotNull() & F.get(coords, F.lit(dim)).isNull()
-    message = F.concat(
-        F.lit(f"point and centers differ in dimension: expected {dim}, got "),
-        F.coalesce(F.size(coords).cast("string"), F.lit("null")),
-    )
-    return F.when(fits, value).otherwise(F.raise_error(message))
-
-
-def as_double_array(coords: Column) -> Column:
-    return coords.cast("array<double>")
+    message = f"point and centers differ in dimension: expected {dim}"
+    return F.when(fits, value).otherwise(F.raise_error(F.lit(message)))

@@ -35,7 +35,8 @@ def admit(items: DataFrame, threshold: int, span: int = 65_536) -> DataFrame:
         .alias("before"))
     reached = F.col("before") + F.sum("n").over(
         up_to_here.partitionBy("span").orderBy("batch_id"))
-    crossing = sizes.join(spans, "span").select("batch_id", reached.alias("reached")) \
+    # every span has its row; as a left join, both sides share one exchange of the sizes
+    crossing = sizes.join(spans, "span", "left").select("batch_id", reached.alias("reached")) \
         .where(F.col("reached") >= threshold) \
         .agg(F.coalesce(F.min("batch_id"), F.lit(_LAST)).alias("batch_id"))
     return items.where(F.col("batch_id") <= crossing.scalar())
