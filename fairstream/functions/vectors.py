@@ -8,17 +8,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def squared_distance(coords: Column, center: Sequence[float]) -> Column:
+def squared_distance(coordinates: Sequence[Column], center: Sequence[float]) -> Column:
     """Squared Euclidean distance to a literal center, as plain arithmetic inside codegen."""
-    total = None
-    for i, c in enumerate(center):
-        delta = coords[i] - F.lit(float(c))
-        total = delta * delta if total is None else total + delta * delta
-    return total
+    gaps = [x - F.lit(float(c)) for x, c in zip(coordinates, center)]
+    return sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
 
 
-def checked_dimension(value: Column, coords: Column, dim: int) -> Column:
-    """``value``, or an error for a row whose point is not ``dim``-dimensional."""
-    fits = F.get(coords, F.lit(dim - 1)).isNotNull() & F.get(coords, F.lit(dim)).isNull()
-    message = f"point and centers differ in dimension: expected {dim}"
-    return F.when(fits, value).otherwise(F.raise_error(F.lit(message)))
+def checked_coordinates(coords: Column, dim: int) -> list[Column]:
+    """The ``dim`` elements; a row of any other number of elements is an error."""
+    last = F.get(coords, F.lit(dim - 1))
+    fits = last.isNotNull() & F.get(coords, F.lit(dim)).isNull()
+    message = F.lit(f"point and centers differ in dimension: expected {dim}")
+    return [F.get(coords, F.lit(d)) for d in range(dim - 1)] + [
+        F.when(fits, last).otherwise(F.raise_error(message))]

@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairstream.functions.vectors import checked_dimension, squared_distance
+from fairstream.functions.vectors import checked_coordinates, squared_distance
 from fairstream.operators.blocks import batch_matrix
 
-MAX_EXPRESSION_TERMS = 64
+# measured: from about here the generated code grows past what the JIT compiles
+MAX_EXPRESSION_TERMS = 24
 MAX_CENTERS = 100_000
 _BLOCK_CELLS = 1 << 17
 
@@ -55,44 +56,52 @@ def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """
     k, dim = centers.shape
     cid = np.empty(len(x), dtype=np.int32)
-    norms = (centers * centers).sum(axis=1)
-    product = np.ascontiguousarray(-2.0 * centers.T)
+    origin = centers.mean(axis=0)  # near the data, so that little is lost to rounding
+    shifted = centers - origin
+    norms = (shifted * shifted).sum(axis=1)
+    product = np.ascontiguousarray(-2.0 * shifted.T)
     slack = 16 * (dim + 4) * np.finfo(np.float64).eps
     step = max(1, _BLOCK_CELLS // k)
     for start in range(0, len(x), step):
-        block = x[start:start + step]
+        block = x[start:start + step] - origin
         rows = np.arange(len(block))
         score = block @ product
         score += norms
         best = score.argmin(axis=1)
         lowest = score[rows, best]
         score[rows, best] = np.inf
-        margin = slack * ((block * block).sum(axis=1) + norms.max())
-        for row in np.flatnonzero(~(score.min(axis=1) - lowest > margin)):
-            best[row] = ((block[row] - centers) ** 2).sum(axis=1).argmin()
+        margin = slack * (np.einsum("ij,ij->i", block, block) + norms.max())
+        close = np.flatnonzero(~(score.min(axis=1) - lowest > margin)) if k > 1 else rows[:0]
+        if len(close):
+            best[close] = _exact_nearest(x[start + close], centers)
         cid[start:start + step] = best
     gap = x - centers[cid]
     return cid, np.einsum("ij,ij->i", gap, gap)
 
 
-def distance_columns(coords: Column, centers: np.ndarray) -> list[Column]:
-    return [squared_distance(coords, c) for c in centers]
+def _exact_nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    total = np.zeros((len(x), len(centers)))
+    for d in range(centers.shape[1]):
+        gap = x[:, d, None] - centers[:, d]
+        total += gap * gap
+    return total.argmin(axis=1)
 
 
 def with_nearest_expressions(points: DataFrame, centers: np.ndarray, cid: str | None,
                              sqdist: str, coords: str = "coords") -> DataFrame:
     """Add the nearest center by arithmetic; ``cid=None`` when only the distance is wanted."""
+    x = [f"_x{d}" for d in range(centers.shape[1])]
     names = [f"_d{i}" for i in range(len(centers))]
-    distances = dict(zip(names, distance_columns(F.col(coords), centers)))
-    distances[names[0]] = checked_dimension(distances[names[0]], F.col(coords), centers.shape[1])
-    out = points.withColumns(distances)
+    out = points.withColumns(dict(zip(x, checked_coordinates(F.col(coords), len(x)))))
+    out = out.withColumns({name: squared_distance([F.col(c) for c in x], center)
+                           for name, center in zip(names, centers)})
     out = out.withColumn(sqdist, F.least(*names) if len(names) > 1 else F.col(names[0]))
     if cid is not None:
         index = F.lit(len(names) - 1)
         for i in reversed(range(len(names) - 1)):
             index = F.when(F.col(names[i]) == F.col(sqdist), F.lit(i)).otherwise(index)
         out = out.withColumn(cid, index)
-    return out.drop(*names)
+    return out.drop(*x, *names)
 
 
 def _nearest_udf(centers: np.ndarray):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fairstream.sources.parsing import numbers
+
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """One row per text line. ``partitions`` spreads the lines evenly, at the cost of a shuffle;
@@ -26,8 +28,8 @@ def labelled_points(lines: DataFrame, value: str = "value") -> DataFrame:
     ).otherwise(F.split(kept, ",", -1))
     return (
         lines.withColumn("_fields", fields)
-        .withColumn("coords", F.slice("_fields", F.lit(1), F.size("_fields") - 1)
-                    .cast("array<double>"))
+        .withColumn("coords", numbers(
+            lines.sparkSession, F.slice("_fields", F.lit(1), F.size("_fields") - 1)))
         .withColumn("grp", F.when(F.element_at("_fields", -1) == "A", "A").otherwise("B"))
         .drop("_fields", value)
     )
@@ -43,7 +45,7 @@ def labelled_points_tolerant(lines: DataFrame, value: str = "value") -> DataFram
     return (
         lines.withColumn("_fields", fields)
         .where(F.size("_fields") >= 3)
-        .withColumn("coords", F.slice("_fields", 1, 2).cast("array<double>"))
+        .withColumn("coords", numbers(lines.sparkSession, F.slice("_fields", 1, 2)))
         .withColumn("grp", F.col("_fields")[2])
         .drop("_fields", value)
     )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fairstream.sources.generators import fair_balanced_points, fair_gap_points
+from fairstream.sources.parsing import parse_items
 from fairstream.sources.points import (
     format_points, labelled_points, labelled_points_tolerant, read_lines, write_points,
 )
@@ -28,12 +29,28 @@ def test_parse(points, line, coords, grp):
     assert _rows(points(line)) == [(coords, grp)]
 
 
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 @pytest.mark.parametrize("line", ["x,2,A", "1,2,A,9", "1,,A", ",,,"])
-def test_parse_rejects(points, line):
+def test_parse_rejects(points, ansi, line):
+    assert _rows(points("1,2,A")) == [([1.0, 2.0], "A")]
     with pytest.raises(Exception):
         points(line).collect()
 
 
+def test_items(spark, ansi):
+    lines = spark.createDataFrame([("5",), ("-7",)], "value string")
+    assert [r["item"] for r in parse_items(lines).collect()] == [5, -7]
+    with pytest.raises(Exception):
+        parse_items(spark.createDataFrame([("5.5",)], "value string")).collect()
+
+
 def test_tolerant(spark):
     lines = spark.createDataFrame(
         [("1,2",), ("1,2,A,",), ("1,2,A,9",), ("3,4,C",), ("",)], "value string")

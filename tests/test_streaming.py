@@ -1,10 +1,11 @@
+import os
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from fairstream.operators.frequency import item_counts, top_k_heavy_hitters
 from fairstream.operators.sketches import sketch_both
+from fairstream.sources.parsing import parse_items
 from fairstream.streaming.admission import BatchLog, admit, batch_sizes
 from fairstream.streaming.running import (
     RunningTopK, Updates, running_counts, running_distinct, running_residues, running_sketches,
@@ -21,10 +22,8 @@ def stream(spark, tmp_path):
     for i, batch in enumerate(BATCHES):
         file = folder / f"{i}.txt"
         file.write_text("".join(f"{v}\n" for v in batch))
-        import os
         os.utime(file, (1_000_000 + i, 1_000_000 + i))
-    return spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder)) \
-        .select(F.col("value").cast("long").alias("item"))
+    return parse_items(spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder)))
 
 
 def _counts(batches):
