@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,14 @@ def as_centers(centers: DataFrame | Sequence[Sequence[float]] | np.ndarray) -> n
     return result
 
 
+def centers_frame(spark: SparkSession, centers) -> DataFrame:
+    """``(cid, coords)`` of centers given as an array or nested lists."""
+    rows = as_centers(centers)
+    return spark.createDataFrame(pa.table({
+        "cid": pa.array(range(len(rows)), pa.int32()),
+        "coords": pa.array(rows.tolist(), pa.list_(pa.float64()))}))
+
+
 def fits_expressions(centers: np.ndarray) -> bool:
     return centers.size <= MAX_EXPRESSION_TERMS
 

@@ -20,11 +20,6 @@ from fairstream.operators.moments import Moments, collect_moments, group_cluster
 SEARCH_ROUNDS = 10
 
 
-def centers_frame(spark, centers) -> DataFrame:
-    rows = [(i, [float(v) for v in c]) for i, c in enumerate(as_centers(centers))]
-    return spark.createDataFrame(rows, "cid int, coords array<double>")
-
-
 @contextmanager
 def packed(points: DataFrame, dim: int, storage: StorageLevel | None) -> Iterator[DataFrame]:
     """The points for a loop: packed and persisted, or as they are when ``storage`` is None."""

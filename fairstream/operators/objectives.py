@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairstream.operators.assign import (
-    as_centers, fits_expressions, nearest, with_nearest_expressions,
+    as_centers, centers_frame, fits_expressions, nearest, with_nearest_expressions,
 )
 from fairstream.operators.blocks import is_packed, map_points
 from fairstream.operators.moments import group_cluster_moments
@@ -122,8 +122,7 @@ def cluster_stats(points: DataFrame, centers) -> DataFrame:
         counts = group_cluster_moments(points, centers).groupBy("cid").agg(
             F.coalesce(F.sum(F.when(is_a(), F.col("n"))), F.lit(0)).alias("n_a"),
             F.coalesce(F.sum(F.when(~is_a(), F.col("n"))), F.lit(0)).alias("n_b"))
-    table = points.sparkSession.createDataFrame(
-        [(i, c.tolist()) for i, c in enumerate(centers)], "cid int, center array<double>")
+    table = centers_frame(points.sparkSession, centers).withColumnRenamed("coords", "center")
     # at most as many counts as centers on either side
     return counts.join(F.broadcast(table), "cid") \
         .select("cid", "center", "n_a", "n_b").orderBy("cid")

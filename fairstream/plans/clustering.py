@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairstream.operators.assign import assign
+from fairstream.operators.assign import assign, centers_frame
 from fairstream.operators.kmeans import (
-    centers_frame, fair_kmeans, fair_kmeans_step, fair_line_search, kmeans_centers,
+    fair_kmeans, fair_kmeans_step, fair_line_search, kmeans_centers,
 )
 from fairstream.operators.moments import (
     fair_cluster_params, group_cluster_moments, group_dispersion,

@@ -66,8 +66,9 @@ class BatchLog:
                 .write.mode("overwrite").parquet(rows)
             n = spark.read.parquet(rows).agg(F.coalesce(F.sum("cnt"), F.lit(0))).head()[0]
         total = before + n
-        spark.createDataFrame([(n, total)], "n long, total long").coalesce(1) \
-            .write.mode("overwrite").parquet(f"{self.folder}/sizes/batch={batch_id}")
+        record = {"n": n, "total": total}
+        spark.range(1, numPartitions=1).select(
+            *[F.lit(v).cast("long").alias(c) for c, v in record.items()]).write.mode("overwrite").parquet(f"{self.folder}/sizes/batch={batch_id}")
         self._totals = {batch_id: total}
         if self.threshold is not None and total >= self.threshold:
             self.reached.set()

@@ -83,7 +83,6 @@ class RunningTopK:
         self.k = k
         self.folder = folder.rstrip("/")
         self.updates = Updates(folder, then=self._refresh)
-        self.last: int | None = None
 
     def _path(self, batch_id: int) -> str:
         return f"{self.folder}/hitters/batch={batch_id}"
@@ -95,7 +94,6 @@ class RunningTopK:
             candidates = old.join(candidates, "item", "left_anti").unionByName(candidates)
         top_k_heavy_hitters(candidates, self.k).write.mode("overwrite") \
             .parquet(self._path(batch_id))
-        self.last = batch_id
 
     def run(self, items: DataFrame) -> RunningTopK:
         self.updates.run(running_counts(items))
@@ -103,9 +101,9 @@ class RunningTopK:
 
     def hitters(self, spark: SparkSession) -> DataFrame:
         """``(item, cnt)`` after the last batch."""
-        if self.last is None:
-            return spark.createDataFrame([], "item long, cnt long")
-        return spark.read.parquet(self._path(self.last))
+        rows = spark.read.parquet(f"{self.folder}/hitters")
+        newest = rows.agg(F.max("batch")).scalar()
+        return rows.where(F.col("batch") == newest).select("item", "cnt")
 
 
 def running_sketches(spark: SparkSession, residues: Updates, d: int, w: int,

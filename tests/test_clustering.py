@@ -8,11 +8,10 @@ from hypothesis.extra.numpy import arrays
 from pyspark.sql import functions as F
 
 from fairstream.operators import assign as assign_module
-from fairstream.operators.assign import as_centers, assign, nearest
+from fairstream.operators.assign import as_centers, assign, centers_frame, nearest
 from fairstream.operators.blocks import pack_points
 from fairstream.operators.kmeans import (
-    centers_frame, fair_kmeans, fair_kmeans_step, fair_line_search, kmeans_centers, kmeans_init,
-    line_search,
+    fair_kmeans, fair_kmeans_step, fair_line_search, kmeans_centers, kmeans_init, line_search,
 )
 from fairstream.operators.moments import (
     fair_cluster_params, group_cluster_moments, group_dispersion,
