@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairstream.operators.assign import (
-    as_centers, fits_expressions, nearest, with_nearest_expressions,
+    as_centers, centers_frame, fits_expressions, nearest, with_nearest_expressions,
 )
 from fairstream.operators.blocks import is_packed, map_points
 
@@ -68,22 +68,21 @@ def _partial_sums(points: DataFrame, centers: np.ndarray) -> tuple[DataFrame, li
         used = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays(
             [pa.array((used // 2).astype(np.int32)), pa.array(used % 2 == 1),
-             pa.array(centers[used // 2].tolist(), pa.list_(pa.float64())),
              pa.array(n[used]), pa.array(cost[used]), *[pa.array(o[used]) for o in offset]],
-            ["cid", "is_a", "center", *sums])
+            ["cid", "is_a", *sums])
 
-    schema = "cid int, is_a boolean, center array<double>, n long, " + ", ".join(
-        f"{c} double" for c in sums[1:])
+    schema = "cid int, is_a boolean, n long, " + ", ".join(f"{c} double" for c in sums[1:])
     return map_points(points, dim, partial, schema), sums
 
 
 def _moments_by_arrow(points: DataFrame, centers: np.ndarray) -> DataFrame:
     partials, sums = _partial_sums(points, centers)
-    totals = partials.groupBy("cid", "is_a").agg(
-        F.any_value("center").alias("center"), *[F.sum(c).alias(c) for c in sums])
+    totals = partials.groupBy("cid", "is_a").agg(*[F.sum(c).alias(c) for c in sums])
+    # K rows that are on the driver already
+    table = centers_frame(points.sparkSession, centers).withColumnRenamed("coords", "center")
     shift = F.array(*[F.col(c) / F.col("n") for c in sums[2:]])
     moved = F.aggregate("shift", F.lit(0.0), lambda acc, v: acc + v * v)
-    return totals.withColumn("shift", shift).select(
+    return totals.join(F.broadcast(table), "cid").withColumn("shift", shift).select(
         "cid", F.when(F.col("is_a"), "A").otherwise("B").alias("grp"), "n",
         F.zip_with("center", "shift", lambda c, o: c + o).alias("mu"),
         F.greatest(F.col("cost") - F.col("n") * moved, F.lit(0.0)).alias("ssd"))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 _LAST = (1 << 63) - 1
+COUNTS = "item long, cnt long"
+SIZES = "n long, total long"
 
 
 def batch_sizes(items: DataFrame) -> DataFrame:
@@ -64,11 +66,13 @@ class BatchLog:
             rows = f"{self.folder}/counts/batch={batch_id}"
             batch.groupBy("item").agg(F.count(F.lit(1)).alias("cnt")) \
                 .write.mode("overwrite").parquet(rows)
-            n = spark.read.parquet(rows).agg(F.coalesce(F.sum("cnt"), F.lit(0))).head()[0]
+            stored = spark.read.schema(COUNTS).parquet(rows)
+            n = stored.agg(F.coalesce(F.sum("cnt"), F.lit(0))).head()[0]
         total = before + n
         record = {"n": n, "total": total}
-        spark.range(1, numPartitions=1).select(
-            *[F.lit(v).cast("long").alias(c) for c, v in record.items()]).write.mode("overwrite").parquet(f"{self.folder}/sizes/batch={batch_id}")
+        spark.range(1, numPartitions=1) \
+            .select(*[F.lit(v).cast("long").alias(c) for c, v in record.items()]) \
+            .write.mode("overwrite").parquet(f"{self.folder}/sizes/batch={batch_id}")
         self._totals = {batch_id: total}
         if self.threshold is not None and total >= self.threshold:
             self.reached.set()
@@ -77,8 +81,8 @@ class BatchLog:
         if batch_id == 0:
             return 0
         if batch_id - 1 not in self._totals:
-            row = spark.read.parquet(f"{self.folder}/sizes/batch={batch_id - 1}").head()
-            self._totals[batch_id - 1] = row["total"]
+            before = spark.read.schema(SIZES).parquet(f"{self.folder}/sizes/batch={batch_id - 1}")
+            self._totals[batch_id - 1] = before.head()["total"]
         return self._totals[batch_id - 1]
 
     def start(self, items: DataFrame, **trigger) -> StreamingQuery:
@@ -109,10 +113,10 @@ class BatchLog:
 
     def sizes(self, spark: SparkSession) -> DataFrame:
         """``(batch_id, n)`` of the admitted batches that hold an item."""
-        return self._read(spark, "sizes", "n long, total long").where("n > 0") \
+        return self._read(spark, "sizes", SIZES).where("n > 0") \
             .select(F.col("batch").cast("long").alias("batch_id"), "n")
 
     def item_counts(self, spark: SparkSession) -> DataFrame:
         """``(item, cnt)`` over the admitted batches."""
-        return self._read(spark, "counts", "item long, cnt long").groupBy("item") \
+        return self._read(spark, "counts", COUNTS).groupBy("item") \
             .agg(F.sum("cnt").alias("cnt"))
