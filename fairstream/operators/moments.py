@@ -6,6 +6,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from fairstream.operators.assign import (
 )
 from fairstream.operators.blocks import is_packed, map_points
 
+MAX_SUM_COLUMNS = 32
+
 
 def group_cluster_moments(points: DataFrame, centers) -> DataFrame:
     """``(cid, grp, n, mu, ssd)`` of every non-empty (cluster, group): size, mean point, and sum of
@@ -43,46 +47,52 @@ def _moments_by_expressions(points: DataFrame, centers: np.ndarray) -> DataFrame
                         (F.col("n") * spread).alias("ssd"))
 
 
-def _partial_sums(points: DataFrame, centers: np.ndarray) -> tuple[DataFrame, list[str]]:
-    """Each task's sums per (cluster, group), and the names of the columns that add up.
-
-    ``o0, o1, ...`` are sums of offsets from the nearest center; those stay small and so lose no
-    digits.
-    """
+def _sums(points: DataFrame, centers: np.ndarray) -> DataFrame:
+    """``(cid, is_a, n, cost, ...)`` of every non-empty (cluster, group): size, sum of squared
+    distances to the center, and from there on the vector sum of offsets from the center, which
+    stay small and so lose no digits. Few coordinates add up fastest as columns of their own,
+    ``o0, o1, ...``; many as one array ``offset``."""
     k, dim = centers.shape
-    dims = range(dim)
-    sums = ["n", "cost", *[f"o{d}" for d in dims]]
+    columns = [f"o{d}" for d in range(dim)] if dim <= MAX_SUM_COLUMNS else []
 
     def partial(batches):
         n = np.zeros(2 * k, dtype=np.int64)
         cost = np.zeros(2 * k)
-        offset = np.zeros((dim, 2 * k))
+        offset = np.zeros((2 * k, dim))
         for x, flag in batches:
             cid, sqdist = nearest(x, centers)
             key = 2 * cid + flag
             n += np.bincount(key, minlength=2 * k)
             cost += np.bincount(key, sqdist, minlength=2 * k)
             gap = x - centers[cid]
-            for d in dims:
-                offset[d] += np.bincount(key, gap[:, d], minlength=2 * k)
+            for d in range(dim):
+                offset[:, d] += np.bincount(key, gap[:, d], minlength=2 * k)
         used = np.flatnonzero(n)
+        offsets = [pa.array(offset[used, d]) for d in range(dim)] if columns else [
+            pa.array(offset[used].tolist(), pa.list_(pa.float64()))]
         yield pa.RecordBatch.from_arrays(
-            [pa.array((used // 2).astype(np.int32)), pa.array(used % 2 == 1),
-             pa.array(n[used]), pa.array(cost[used]), *[pa.array(o[used]) for o in offset]],
-            ["cid", "is_a", *sums])
+            [pa.array((used // 2).astype(np.int32)), pa.array(used % 2 == 1), pa.array(n[used]),
+             pa.array(cost[used]), *offsets],
+            ["cid", "is_a", "n", "cost", *(columns or ["offset"])])
 
-    schema = "cid int, is_a boolean, n long, " + ", ".join(f"{c} double" for c in sums[1:])
-    return map_points(points, dim, partial, schema), sums
+    wide = ", ".join(f"{c} double" for c in columns) or "offset array<double>"
+    groups = map_points(points, dim, partial,
+                        f"cid int, is_a boolean, n long, cost double, {wide}") \
+        .groupBy("cid", "is_a")
+    if columns:
+        return groups.sum("n", "cost", *columns).toDF("cid", "is_a", "n", "cost", *columns)
+    return groups.agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                      vector_to_array(Summarizer.sum(array_to_vector("offset"))).alias("offset"))
 
 
 def _moments_by_arrow(points: DataFrame, centers: np.ndarray) -> DataFrame:
-    partials, sums = _partial_sums(points, centers)
-    totals = partials.groupBy("cid", "is_a").agg(*[F.sum(c).alias(c) for c in sums])
     # K rows that are on the driver already
     table = centers_frame(points.sparkSession, centers).withColumnRenamed("coords", "center")
-    shift = F.array(*[F.col(c) / F.col("n") for c in sums[2:]])
+    sums = _sums(points, centers)
+    offset = "offset" if "offset" in sums.columns else F.array(*sums.columns[4:])
+    shift = F.transform(offset, lambda o: o / F.col("n"))
     moved = F.aggregate("shift", F.lit(0.0), lambda acc, v: acc + v * v)
-    return totals.join(F.broadcast(table), "cid").withColumn("shift", shift).select(
+    return sums.join(F.broadcast(table), "cid").withColumn("shift", shift).select(
         "cid", F.when(F.col("is_a"), "A").otherwise("B").alias("grp"), "n",
         F.zip_with("center", "shift", lambda c, o: c + o).alias("mu"),
         F.greatest(F.col("cost") - F.col("n") * moved, F.lit(0.0)).alias("ssd"))
@@ -100,12 +110,12 @@ class Moments(NamedTuple):
 
 def collect_moments(points: DataFrame, centers: np.ndarray) -> Moments:
     """The moments on the driver, for a loop: one aggregation that returns at most 2K rows."""
-    partials, sums = _partial_sums(points, centers)
-    rows = partials.groupBy("cid", "is_a").sum(*sums).collect()
-    cid = np.array([r[0] for r in rows], dtype=np.int64)
-    n, cost, *offsets = np.array([r[2:] for r in rows], dtype=float).reshape(-1, len(sums)).T
-    shift = np.array(offsets).T / n[:, None]
-    return Moments(cid, np.array([r[1] for r in rows], dtype=bool), n, centers[cid] + shift,
+    rows = _sums(points, centers).collect()
+    cid = np.array([r["cid"] for r in rows], dtype=np.int64)
+    n = np.array([r["n"] for r in rows], dtype=float)
+    cost = np.array([r["cost"] for r in rows])
+    shift = np.array([r[4:] for r in rows], dtype=float).reshape(centers[cid].shape) / n[:, None]
+    return Moments(cid, np.array([r["is_a"] for r in rows], dtype=bool), n, centers[cid] + shift,
                    np.maximum(cost - n * (shift * shift).sum(axis=1), 0.0))
 
 

@@ -116,13 +116,14 @@ def test_cluster_stats(spark, path):
     assert [list(r["center"]) for r in got] == centers[:4].tolist()
 
 
-def test_moments(spark, path):
-    x, grp, df = _cloud(spark)
+@pytest.mark.parametrize("dim", [5, 40])
+def test_moments(spark, path, dim):
+    x, grp, df = _cloud(spark, dim=dim)
     x = x + 1e5  # far from the origin, where squares would lose digits
     df = df.withColumn("coords", F.transform("coords", lambda v: v + 1e5))
     centers = x[:4]
     cid = _brute(x, centers)[0]
-    for source in (df, pack_points(df, 5)):
+    for source in (df, pack_points(df, dim)):
         for r in group_cluster_moments(source, centers).collect():
             own = x[(cid == r["cid"]) & (grp == r["grp"])]
             assert r["n"] == len(own)
