@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_base: str | None = None
-
 
 def local_session(cpus: int = 8, app: str = "fairstream", **conf: str) -> SparkSession:
     """A single-machine session for tests and the bench.
@@ -39,16 +34,16 @@ def local_session(cpus: int = 8, app: str = "fairstream", **conf: str) -> SparkS
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name for streaming checkpoints and staged output.
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach. Only a local session
-    without that setting gets a machine-local folder, removed when Python exits.
+    It lies under ``spark.checkpoint.dir`` or, where that is unset, in the warehouse, both of which
+    every executor can reach. ``remove_scratch`` removes the folder of a finished run.
     """
-    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="fairstream-")
-            atexit.register(shutil.rmtree, _local_base, ignore_errors=True)
-        base = _local_base
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession, folder: str) -> None:
+    """Removes a folder made under a name from ``scratch_dir``, wherever the cluster stores it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
