@@ -5,10 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairstream.llm.common import texts
+from fairstream.llm.common import sampled, texts
 
 #: Texts of a language that are learned from at most, and windows of each of them.
 SAMPLE_TEXTS, SAMPLE_WINDOWS = 400, 3
@@ -122,16 +122,14 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text",
           lang_col: str = "lang") -> ByteNetwork | None:
     """A network learned from rows where ``usable`` holds and language and text are known.
 
-    Of each language, at most ``SAMPLE_TEXTS`` texts are used, chosen by a hash; tasks choose before
-    the shuffle, so a language of most rows is no large group. None if there is no such row.
+    Of each language, at most ``SAMPLE_TEXTS`` texts are used, chosen by a hash. None if there is no
+    such row.
     """
     known = docs.where(usable & docs[lang_col].isNotNull() & docs[text_col].rlike(r"\p{L}"))
-    # whole texts are hashed, and up to SAMPLE_WINDOWS windows of each chosen one are learned
-    order = Window.partitionBy("lang").orderBy("mix", "text")
     rows = known.select(known[lang_col].cast("string").alias("lang"),
-                        known[text_col].cast("string").alias("text")) \
-        .withColumn("mix", F.xxhash64("text", "lang")) \
-        .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_TEXTS) \
+                        known[text_col].cast("string").alias("text"))
+    # up to SAMPLE_WINDOWS windows of each chosen text are learned
+    rows = sampled(rows, "lang", SAMPLE_TEXTS, F.xxhash64("text", "lang")) \
         .select("lang", "text").orderBy("lang", "n").toPandas()
     if not len(rows):
         return None
