@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairstream.llm import language_id, packing, secrets, token_counts
+from fairstream.llm import (fingerprints, jaccard_join, language_id, line_quality, mixing, packing,
+                            page_templates, secrets, token_counts)
 from fairstream.llm.common import held_out, table
 from fairstream.llm.metric_tree import top_inner_products
 
@@ -29,9 +30,33 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(rows, network, ["doc_id", "held_out"])
 
 
+def op3_page_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return page_templates.extract(table(spark, folder, "pages"))
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")) \
+        .select("row.doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, folder, "documents"), public_tokenizers.path(RANKS),
-                                public_tokenizers.PATTERN).drop("redacted")
+                                public_tokenizers.PATTERN, ["doc_id"]).drop("redacted")
+
+
+def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    field = line_quality.train(docs, table(spark, folder, "labels"))
+    rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    return line_quality.score(rows, field, ["doc_id", "held_out"])
 
 
 def op9_metric_tree(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,12 +71,50 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language_id": op2_language_id,
+    "op3_page_templates": op3_page_templates,
+    "op4_mixing": op4_mixing,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op6_fingerprints": op6_fingerprints,
     "op7_secret_scans": op7_secret_scans,
+    "op8_line_quality": op8_line_quality,
     "op9_metric_tree": op9_metric_tree,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_jaccard_join": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                       lambda w: w <> '') AS words
+            FROM documents
+        ), listed AS (
+            SELECT doc_id, CASE
+                WHEN len(words) = 0 THEN []
+                WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 3),
+                         lambda i: array_to_string(words[i:i + 4], ' '))) END AS s
+            FROM docs
+        ), shingles AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM listed
+        ), pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM shingles a JOIN shingles b USING (shingle)
+            WHERE a.doc_id < b.doc_id
+              AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), both_ways AS (
+            SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM docs
+            UNION
+            SELECT r.doc_id, e.y FROM reached r JOIN both_ways e ON r.other = e.x
+        )
+        SELECT l.doc_id, CAST(len(l.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+        FROM listed l JOIN reached r USING (doc_id)
+        GROUP BY l.doc_id, l.s""",
     "op9_metric_tree": """
         WITH valid AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE))

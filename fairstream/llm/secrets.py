@@ -30,6 +30,7 @@ _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _PARTS = re.compile(r"[/_=+-]+")
 _DIGITS = re.compile(r"[0-9]")
 _LETTERS = re.compile(r"[A-Za-z]")
+_FOUND = ["n_assign", "n_access", "n_hex", "n_opaque", "base_sha256", "spans", "redacted"]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -87,13 +88,13 @@ def redacted(text: str, spans, mark: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str],
                  text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """Per document the secrets' counts and spans, and the text with them replaced by ``mark``.
 
     ``ranks_path`` and ``pattern`` give the tokenizer: its file of byte ranks and its splitting
-    pattern. Positions are code points, ends exclusive. Columns: the id, ``n_assign``, ``n_access``,
-    ``n_hex``, ``n_opaque``, ``base_sha256`` (of the joined spans of the fixed patterns), ``spans``
+    pattern. Positions are code points, ends exclusive. Columns: those of ``keep``, ``n_assign``,
+    ``n_access``, ``n_hex``, ``n_opaque``, ``base_sha256`` (of the joined spans of the fixed patterns), ``spans``
     (all) and ``redacted``. A null text counts as empty, and is null again in ``redacted``; repeated
     rows are scanned row by row. The vocabulary, of fixed size, is broadcast; nothing is shuffled.
     """
@@ -111,7 +112,8 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
 
         for batch in batches:
             counts, digests, joined, kept = [], [], [], []
-            for text, null in zip(texts(batch), batch.column("text").is_null().to_pylist()):
+            for text, null in zip(texts(batch, "text of row"),
+                                  batch.column("text of row").is_null().to_pylist()):
                 base = base_spans(text)
                 every = sorted(base + opaque_spans(text, base, n_tokens))
                 counts.append([sum(k == i for _, k, _ in every) for i in range(4)])
@@ -120,14 +122,16 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
                 kept.append(None if null else redacted(text, every, mark))
             by_kind = list(zip(*counts)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), *(pa.array(c, pa.int64()) for c in by_kind),
+                [*(batch.column(i) for i in range(len(keep))),
+                 *(pa.array(c, pa.int64()) for c in by_kind),
                  pa.array(digests, pa.string()), pa.array(joined, pa.string()),
                  pa.array(kept, pa.string())],
-                ["key", "n_assign", "n_access", "n_hex", "n_opaque", "base_sha256", "spans",
-                 "redacted"])
+                [*names, *_FOUND])
 
-    narrow = docs.select(docs[id_col].alias("key"), docs[text_col].cast("string").alias("text"))
-    kind = narrow.schema["key"].dataType.simpleString()
+    names = [f"c{i}" for i in range(len(keep))]
+    narrow = docs.select(*(docs[c].alias(n) for n, c in zip(names, keep)),
+                         docs[text_col].cast("string").alias("text of row"))
+    schema = ", ".join(f"{n} {narrow.schema[n].dataType.simpleString()}" for n in names)
     return narrow.mapInArrow(
-        scan, f"key {kind}, n_assign long, n_access long, n_hex long, n_opaque long, "
-              "base_sha256 string, spans string, redacted string").withColumnRenamed("key", id_col)
+        scan, f"{schema}, n_assign long, n_access long, n_hex long, n_opaque long, "
+              "base_sha256 string, spans string, redacted string").toDF(*keep, *_FOUND)
