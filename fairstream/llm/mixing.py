@@ -114,14 +114,14 @@ def balance(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     return state.select("k", "source_size", "target", "mean", "full", "tilt")
 
 
-def _copies_below(chance: Column, size: Column, rate: Column, mean: Column) -> Column:
+def _place(chance: Column, size: Column, rate: Column, mean: Column) -> Column:
     """A document's place in its source's rounding order, null if its rate is whole for good.
 
     Rounding up the documents with ``chance`` below the fraction of their rate would be right on
-    average. Their distance to that, times their size, orders the documents, so that the threshold
-    that meets the target moves small documents first.
+    average. Their distance to that, times their squared size, orders the documents, so that the
+    threshold that meets the target moves small documents first.
     """
-    gap = (chance - (rate - F.floor(rate))) * size / mean
+    gap = (chance - (rate - F.floor(rate))) * F.pow(size / mean, F.lit(2.0))
     squeezed = F.signum(gap) * F.log1p(F.abs(gap) * 1e6)
     place = F.floor((F.greatest(F.lit(-31.0), F.least(F.lit(31.0), squeezed)) + 32.0)
                     * float(1 << (ORDER_BITS - 6)))
@@ -131,7 +131,7 @@ def _copies_below(chance: Column, size: Column, rate: Column, mean: Column) -> C
 def _rated(rows: DataFrame, state: DataFrame) -> DataFrame:
     rate = _rate(F.col("size"), F.col("tilt"), F.col("mean"), F.col("full"))
     return rows.join(state, "k").withColumn("rate", rate).withColumn(
-        "place", _copies_below(F.col("chance"), F.col("size"), F.col("rate"), F.col("mean")))
+        "place", _place(F.col("chance"), F.col("size"), F.col("rate"), F.col("mean")))
 
 
 def round_up_below(rows: DataFrame, state: DataFrame) -> DataFrame:
