@@ -134,40 +134,71 @@ def _rated(rows: DataFrame, state: DataFrame) -> DataFrame:
         "place", _place(F.col("chance"), F.col("size"), F.col("rate"), F.col("mean")))
 
 
-def round_up_below(rows: DataFrame, state: DataFrame) -> DataFrame:
-    """``state`` with ``below``: documents placed below it get their rate rounded up.
+def _reach(rows: DataFrame, needs: DataFrame) -> DataFrame:
+    """``k, below``: the threshold of every source below which rows hold ``need`` words.
 
-    A source's threshold is settled by passes over narrow rows, each of which sums the sizes of at
-    most 2^PASS_BITS cells of a source and goes on in the cell where the target is reached; so no
-    task holds a source's documents.
+    ``rows`` are ``k, place, size`` with places of ORDER_BITS bits, ``needs`` are ``k, need``. Passes
+    sum the sizes of at most 2^PASS_BITS cells of a source and go on in the cell where the need is
+    met; so no task holds a source's documents. The last cell is taken if that comes nearer.
     """
-    rated = _rated(rows, state)
-    need = rated.groupBy("k").agg(
-        (F.first("target") - F.sum(F.floor("rate") * F.col("size"))).alias("need"))
-    at = stored(need.withColumn("cell", F.lit(0).cast("long")), "mix")
+    at = stored(needs.select("k", F.greatest("need", F.lit(0.0)).alias("need"),
+                             F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("words")),
+                "mix")
     shift = ORDER_BITS
     while shift - PASS_BITS > 0:
-        inside = rated.where(F.col("place").isNotNull()).join(at, "k") \
+        inside = rows.join(at.select("k", "need", "cell"), "k") \
             .where(F.shiftright("place", shift) == F.col("cell"))
         shift -= PASS_BITS
-        cells = inside.groupBy("k", F.shiftright("place", shift).alias("part")) \
+        cells = inside.groupBy("k", "need", F.shiftright("place", shift).alias("part")) \
             .agg(F.sum("size").alias("words"))
         upto = Window.partitionBy("k").orderBy("part") \
             .rowsBetween(Window.unboundedPreceding, 0)
-        reached = cells.join(at, "k").withColumn("sum", F.sum("words").over(upto)) \
-            .withColumn("before", F.col("sum") - F.col("words"))
-        # the cell that reaches the need, or the last one; of the first, nothing if need is negative
-        chosen = reached.where(F.col("before") <= F.greatest(F.col("need"), F.lit(0.0))) \
-            .groupBy("k").agg(F.max(F.struct("part", "need", "before", "words")).alias("c")) \
-            .select("k", F.col("c.part").alias("cell"),
-                    (F.col("c.need") - F.col("c.before")).alias("need"), F.col("c.words"))
-        at = stored(chosen, "mix")
-        words = at.select("k", "words")
-        at = at.drop("words")
-    whole = at.join(words, "k").select(
-        "k", F.shiftleft(F.col("cell") + (F.col("need") >= F.col("words") / 2).cast("long"),
-                         shift).alias("below"))
-    return stored(state.join(whole, "k", "left"), "mix")
+        reached = cells.withColumn("before", F.sum("words").over(upto) - F.col("words"))
+        at = stored(reached.where(F.col("before") <= F.col("need")).groupBy("k").agg(
+            F.max(F.struct("part", "need", "before", "words")).alias("c")).select(
+            "k", (F.col("c.need") - F.col("c.before")).alias("need"),
+            F.col("c.part").alias("cell"), F.col("c.words").alias("words")), "mix")
+    more = (F.col("need") >= F.col("words") / 2).cast("long")
+    return stored(at.select("k", F.shiftleft(F.col("cell") + more, shift).alias("below")), "mix")
+
+
+def _up(place: str, below: str) -> Column:
+    return F.coalesce(F.col(place) < F.col(below), F.lit(False))
+
+
+def _settled(rated: DataFrame) -> DataFrame:
+    """Rated documents with ``up``: whether the copies are the rate rounded up, not down.
+
+    First by the threshold in the rounding order, then turned for the smallest documents that make
+    up for what that leaves, up or down as the source needs.
+    """
+    small = F.shiftleft(F.least(F.col("size"), F.lit((1 << 26) - 1)), ORDER_BITS - 26) \
+        .bitwiseOR((F.col("chance") * (1 << (ORDER_BITS - 26))).cast("long"))
+    first = rated.withColumn("first", _up("place", "below")) \
+        .withColumn("small", F.when(F.col("place").isNotNull(), small))
+    turned = F.coalesce((F.col("first") == (F.col("left") < 0)) & _up("small", "turn"),
+                        F.lit(False))
+    return first.withColumn("up", F.col("first") != turned)
+
+
+def thresholds(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """``state`` with what settles the rounding of every source: ``below, left, turn``."""
+    rated = _rated(rows, state)
+    placed = rated.where(F.col("place").isNotNull())
+    needs = rated.groupBy("k").agg(
+        (F.first("target") - F.sum(F.floor("rate") * F.col("size"))).alias("need"))
+    first = state.join(_reach(placed.select("k", "place", "size"), needs), "k", "left")
+    none = {"left": F.lit(0.0), "turn": F.lit(None).cast("long")}
+    so_far = _settled(_rated(rows, first.withColumns(none)))
+    copies = F.floor("rate") + F.col("up").cast("long")
+    left = stored(so_far.groupBy("k").agg(
+        (F.first("target") - F.sum(copies * F.col("size"))).alias("left")), "mix")
+    open_ = so_far.drop("left").join(left, "k").where(
+        F.col("small").isNotNull() & (F.col("up") == (F.col("left") < 0)))
+    second = _reach(open_.select("k", F.col("small").alias("place"), "size"),
+                    left.select("k", F.abs("left").alias("need")))
+    return stored(first.join(left, "k", "left").join(
+        second.withColumnRenamed("below", "turn"), "k", "left"), "mix")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -189,13 +220,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a source without words has no rate to find
     empty = narrow.groupBy("k").agg(F.sum("size").alias("source_size")) \
         .where(F.col("source_size") == 0)
-    settled = round_up_below(narrow.select("k", "size", "chance"), state).unionByName(
+    none = F.lit(None).cast("long")
+    settled = thresholds(narrow.select("k", "size", "chance"), state).unionByName(
         empty.withColumns({"target": F.lit(0.0), "mean": F.lit(1.0), "full": F.lit(True),
-                           "tilt": F.lit(0.0), "below": F.lit(None).cast("long")}))
-    up = F.coalesce(F.col("place") < F.col("below"), F.lit(False)).cast("long")
-    return _rated(sized, settled).select(
+                           "tilt": F.lit(0.0), "below": none, "left": F.lit(0.0), "turn": none}))
+    whole = F.floor("rate") + F.col("up").cast("long")
+    return _settled(_rated(sized, settled)).select(
         "row", "size", "source_size", "target",
-        F.when(F.col("size") == 0, 1).otherwise(F.floor("rate") + up).cast("long").alias("copies")) \
+        F.when(F.col("size") == 0, 1).otherwise(whole).cast("long").alias("copies")) \
         .withColumn("taken", F.col("copies") * F.col("size"))
 
 
