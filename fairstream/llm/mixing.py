@@ -75,7 +75,7 @@ def balance(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     """Every source's tilt, by Newton's method on the convex dual of the entropy problem.
 
     Minimising the rates' relative entropy under one token constraint for each source and the bound
-    ``MOST`` gives rates min(MOST, exp(tilt * size / mean)). ``counts`` holds ``k, size, n``, one row
+    ``MOST`` gives rates min(MOST, exp(tilt * size / mean)). ``counts`` holds ``k, size, n``, a row
     for each distinct size of a source, so an iteration reads no documents: each task sums up values
     and derivatives for its rows, and one row for each source and task is shuffled. A step that
     leaves the interval known to hold the root is replaced by its middle.
@@ -137,13 +137,13 @@ def _rated(rows: DataFrame, state: DataFrame) -> DataFrame:
 def _reach(rows: DataFrame, needs: DataFrame) -> DataFrame:
     """``k, below``: the threshold of every source below which rows hold ``need`` words.
 
-    ``rows`` are ``k, place, size`` with places of ORDER_BITS bits, ``needs`` are ``k, need``. Passes
-    sum the sizes of at most 2^PASS_BITS cells of a source and go on in the cell where the need is
+    ``rows`` are ``k, place, size`` with places of ORDER_BITS bits, ``needs`` are ``k, need``. The
+    passes sum the sizes of at most 2^PASS_BITS cells of a source and go on in the cell where the need is
     met; so no task holds a source's documents. The last cell is taken if that comes nearer.
     """
+    zero = F.lit(0).cast("long")
     at = stored(needs.select("k", F.greatest("need", F.lit(0.0)).alias("need"),
-                             F.lit(0).cast("long").alias("cell"), F.lit(0).cast("long").alias("words")),
-                "mix")
+                             zero.alias("cell"), zero.alias("words")), "mix")
     shift = ORDER_BITS
     while shift - PASS_BITS > 0:
         inside = rows.join(at.select("k", "need", "cell"), "k") \
@@ -225,7 +225,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         empty.withColumns({"target": F.lit(0.0), "mean": F.lit(1.0), "full": F.lit(True),
                            "tilt": F.lit(0.0), "below": none, "left": F.lit(0.0), "turn": none}))
     whole = F.floor("rate") + F.col("up").cast("long")
-    return _settled(_rated(sized, settled)).select(
+    # as a stored table of one row per source it is broadcast while Spark finds it small enough
+    return _settled(_rated(sized, stored(settled, "mix"))).select(
         "row", "size", "source_size", "target",
         F.when(F.col("size") == 0, 1).otherwise(whole).cast("long").alias("copies")) \
         .withColumn("taken", F.col("copies") * F.col("size"))
