@@ -15,9 +15,9 @@ def squared_distance(coordinates: Sequence[Column], center: Sequence[float]) ->
 
 
 def checked_coordinates(coords: Column, dim: int) -> list[Column]:
-    """The ``dim`` elements; a row of any other number of elements is an error."""
-    last = F.get(coords, F.lit(dim - 1))
-    fits = last.isNotNull() & F.get(coords, F.lit(dim)).isNull()
-    message = F.lit(f"point and centers differ in dimension: expected {dim}")
-    return [F.get(coords, F.lit(d)) for d in range(dim - 1)] + [
-        F.when(fits, last).otherwise(F.raise_error(message))]
+    """The ``dim`` elements; any other number of them, or a null among them, is an error."""
+    wrong = F.raise_error(F.lit(
+        f"point and centers differ in dimension or a coordinate is null: expected {dim}"))
+    elements = [F.get(coords, F.lit(d)) for d in range(dim)]
+    return [F.coalesce(e, wrong) for e in elements[:-1]] + [
+        F.when(elements[-1].isNotNull() & (F.size(coords) == dim), elements[-1]).otherwise(wrong)]

@@ -22,20 +22,25 @@ from fairstream.operators.blocks import batch_matrix
 MAX_EXPRESSION_TERMS = 24
 MAX_CENTERS = 100_000
 _BLOCK_CELLS = 1 << 17
+_BLOCK_ROWS = 64  # at least, however many centers there are
 
 
 def as_centers(centers: DataFrame | Sequence[Sequence[float]] | np.ndarray) -> np.ndarray:
-    """Centers as a K x D array, from nested lists or a DataFrame ``(cid, coords)``."""
+    """Centers as a K x D array, from nested lists or a DataFrame ``(cid, coords)``.
+
+    Centers travel to every task with the query, so more than ``MAX_CENTERS`` of them, in whatever
+    form, are an error.
+    """
     if isinstance(centers, DataFrame):
         rows = centers.select("cid", "coords").limit(MAX_CENTERS + 1).collect()
-        if len(rows) > MAX_CENTERS:
-            raise ValueError(f"more than {MAX_CENTERS} centers")
         rows.sort(key=lambda r: r["cid"])
-        if [r["cid"] for r in rows] != list(range(len(rows))):
+        if len(rows) <= MAX_CENTERS and [r["cid"] for r in rows] != list(range(len(rows))):
             raise ValueError("cid must number the centers 0, 1, 2, ...")
         centers = [r["coords"] for r in rows]
     if len(centers) == 0:
         return np.empty((0, 0))
+    if len(centers) > MAX_CENTERS:
+        raise ValueError(f"more than {MAX_CENTERS} centers")
     if len({len(c) for c in centers}) != 1:
         raise ValueError("centers differ in dimension")
     result = np.asarray(centers, dtype=np.float64)
@@ -69,7 +74,7 @@ def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     norms = (shifted * shifted).sum(axis=1)
     product = np.ascontiguousarray(-2.0 * shifted.T)
     slack = 16 * (dim + 4) * np.finfo(np.float64).eps
-    step = max(1, _BLOCK_CELLS // k)
+    step = max(_BLOCK_ROWS, _BLOCK_CELLS // k)
     for start in range(0, len(x), step):
         block = x[start:start + step] - origin
         rows = np.arange(len(block))

@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from fairstream.functions.groups import is_a
 
 PACKED = "coords binary, flags binary"
 # bytes per packed row, so that an Arrow batch of the default 10 000 rows stays near 40 MB
@@ -18,10 +19,13 @@ PointBatches = Iterator[tuple[np.ndarray, np.ndarray]]
 
 def batch_matrix(coords: pa.Array, dim: int) -> np.ndarray:
     """An Arrow list column as an n x dim matrix, without copying the values."""
-    flat = coords.flatten().to_numpy(zero_copy_only=False)
+    values = coords.flatten()
+    flat = values.to_numpy(zero_copy_only=False)
     offsets = coords.offsets.to_numpy()
-    if coords.null_count or len(flat) != dim * len(coords) or (np.diff(offsets) != dim).any():
-        raise ValueError(f"point and centers differ in dimension: expected {dim}")
+    if coords.null_count or values.null_count or len(flat) != dim * len(coords) \
+            or (np.diff(offsets) != dim).any():
+        raise ValueError(
+            f"point and centers differ in dimension or a coordinate is null: expected {dim}")
     return flat.reshape(len(coords), dim)
 
 
@@ -56,7 +60,7 @@ def map_points(points: DataFrame, dim: int, task: Callable[[PointBatches], Itera
     """Run ``task`` once per partition over (coordinates, is-A flags) matrices."""
     if is_packed(points):
         return points.mapInArrow(lambda batches: task(_read_packed(batches, dim)), schema)
-    rows = points.select("coords", (F.col("grp") == "A").alias("is_a"))
+    rows = points.select("coords", is_a().alias("is_a"))
     return rows.mapInArrow(lambda batches: task(_read_rows(batches, dim)), schema)
 
 

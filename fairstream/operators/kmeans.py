@@ -41,10 +41,18 @@ def kmeans_centers(points: DataFrame, k: int, max_iter: int, seed: int = 1, init
     Starts from k-means|| (whose draws depend on the partitioning as well as the seed) or from
     ``init_centers``, and stops after ``max_iter`` rounds or once no center moves more than
     ``tol``. Fewer than ``k`` distinct points give fewer centers.
+
+    Every round is one job over the points that returns at most 2K rows. Meanwhile the points are
+    kept packed at the ``storage`` level, by default a whole copy in the executors' memory and on
+    their disks; with ``None`` every round reads the source instead, which is the way for data
+    beyond those disks.
     """
     if init_centers is None:
-        return _library_kmeans(points, k, max_iter, seed, tol)
-    centers = as_centers(init_centers)
+        centers = kmeans_init(points, k, seed)
+    else:
+        centers = as_centers(init_centers)
+        if len(centers) != k:
+            raise ValueError(f"{len(centers)} starting centers for k = {k}")
     with packed(points, centers.shape[1], storage) as blocks:
         for _ in range(max_iter):
             moved = _pooled_means(collect_moments(blocks, centers), centers)
@@ -65,30 +73,27 @@ def _pooled_means(moments: Moments, centers: np.ndarray) -> np.ndarray:
     return moved
 
 
-def _library_kmeans(points: DataFrame, k: int, max_iter: int, seed: int,
-                    tol: float) -> np.ndarray:
+def kmeans_init(points: DataFrame, k: int, seed: int = 1) -> np.ndarray:
+    """The k-means|| starting centers alone."""
     if k < 1:
         raise ValueError("k must be positive")
     if k == 1:
         return _mean_point(points)
     vectors = points.select(array_to_vector("coords").alias("features"))
     # "row" as coordinates are dense; "auto" would read all points once more to find that out
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, tol=tol, initMode="k-means||",
-                   solver="row").fit(vectors)
+    model = KMeans(k=k, maxIter=0, seed=seed, initMode="k-means||", solver="row").fit(vectors)
     return np.asarray(model.clusterCenters())
 
 
 def _mean_point(points: DataFrame) -> np.ndarray:
     # the library wants k > 1
-    dim = points.select(F.size("coords")).head()[0]
+    first = points.select(F.size("coords")).head()
+    if first is None:
+        raise ValueError("no points")
+    dim = first[0]
     return _pooled_means(collect_moments(points, np.zeros((1, dim))), np.zeros((1, dim)))
 
 
-def kmeans_init(points: DataFrame, k: int, seed: int = 1) -> np.ndarray:
-    """The k-means|| starting centers alone."""
-    return _library_kmeans(points, k, 0, seed, 1e-4)
-
-
 def line_search(alpha: np.ndarray, beta: np.ndarray, ell: np.ndarray, fixed_a: float,
                 fixed_b: float) -> np.ndarray:
     """How far each new center lies from its A-mean, on the segment to the B-mean, so that the
@@ -173,11 +178,14 @@ def fair_kmeans(points: DataFrame, k: int | None = None, max_iter: int = 10, ini
     """Centers after exactly ``max_iter`` fair iterations, from ``init_centers`` or k-means||.
 
     Each iteration is one job over the points that returns at most 2K rows. The points are kept
-    packed at the ``storage`` level meanwhile; with ``None`` every iteration reads the source.
+    packed at the ``storage`` level meanwhile, by default a whole copy in the executors' memory and
+    on their disks; with ``None`` every iteration reads the source.
     """
     if init_centers is None and k is None:
         raise ValueError("give k or init_centers")
     centers = kmeans_init(points, k, seed) if init_centers is None else as_centers(init_centers)
+    if init_centers is not None and k not in (None, len(centers)):
+        raise ValueError(f"{len(centers)} starting centers for k = {k}")
     with packed(points, centers.shape[1], storage) as blocks:
         for _ in range(max_iter):
             centers = next_centers(collect_moments(blocks, centers), centers)

@@ -11,6 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fairstream.functions.groups import with_two_groups
 from fairstream.operators.assign import (
     as_centers, centers_frame, fits_expressions, nearest, with_nearest_expressions,
 )
@@ -37,7 +38,8 @@ def group_cluster_moments(points: DataFrame, centers) -> DataFrame:
 def _moments_by_expressions(points: DataFrame, centers: np.ndarray) -> DataFrame:
     dims = range(centers.shape[1])
     x = F.col("coords")
-    stats = with_nearest_expressions(points, centers, "cid", "sqdist").groupBy("cid", "grp").agg(
+    stats = with_nearest_expressions(with_two_groups(points), centers, "cid", "sqdist") \
+        .groupBy("cid", "grp").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.avg(x[d]).alias(f"_m{d}") for d in dims],
         *[F.var_pop(x[d]).alias(f"_v{d}") for d in dims],

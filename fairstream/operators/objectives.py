@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fairstream.functions.groups import is_a, with_two_groups
 from fairstream.operators.assign import (
     as_centers, centers_frame, fits_expressions, nearest, with_nearest_expressions,
 )
@@ -14,12 +15,8 @@ from fairstream.operators.blocks import is_packed, map_points
 from fairstream.operators.moments import group_cluster_moments
 
 
-def is_a() -> Column:
-    return F.col("grp") == "A"
-
-
 def group_sizes(points: DataFrame) -> DataFrame:
-    """One row ``(n, n_a, n_b)``; an absent group counts 0."""
+    """One row ``(n, n_a, n_b)``; an absent group counts 0, and n is the sum of the two."""
     return points.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(is_a()).alias("n_a"),
@@ -40,6 +37,7 @@ def _costs(points: DataFrame, center_sets) -> tuple[DataFrame, list[str]]:
         raise ValueError("center sets differ in dimension")
     costs = [f"cost{i}" for i in range(len(sets))]
     if not is_packed(points) and all(fits_expressions(c) for c in sets):
+        points = with_two_groups(points)
         for name, centers in zip(costs, sets):
             points = with_nearest_expressions(points, centers, None, name)
         return points.select("grp", F.lit(1).cast("long").alias("n"), *costs), costs

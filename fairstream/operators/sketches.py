@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from fairstream.functions.hashing import PRIME, HashRow, bucket, hash_family, residue, sign
 
-# above either, estimates join with the counters instead of looking them up in one array
-MAX_DENSE_CELLS = 1 << 20
-MAX_DENSE_ROWS = 64
+# counters of the estimates that are broadcast at most; beyond, the keys are joined by residue
+MAX_BROADCAST_COUNTERS = 1 << 23
 KINDS = ("cm", "cs")
 
 
@@ -67,57 +66,20 @@ def merge_sketches(*sketches: DataFrame) -> DataFrame:
     return merged.groupBy("kind", "j", "col").agg(F.sum("counter").alias("counter"))
 
 
-def _value(r: Column, row: HashRow, kind: str, w: int, counter) -> Column:
-    """The key's signed counter of one kind and row, given how to read a cell."""
-    if kind == "cm":
-        return counter(bucket(r, row.cm, w))
-    return counter(bucket(r, row.cs, w)) * sign(r, row.sign)
-
-
-def _dense(sketch: DataFrame, kinds: tuple[str, ...], d: int, width: int) -> Column:
-    """All counters, zeros included, as one array of longs in (kind, j, col) order."""
-    grid = sketch.sparkSession.range(len(kinds) * d * width).withColumnRenamed("id", "pos")
-    block = F.array_position(F.lit(list(kinds)), F.col("kind")) - 1
-    placed = sketch.where(F.col("kind").isin(*kinds)).select(
-        ((block * d + F.col("j")) * width + F.col("col")).alias("pos"), "counter")
-    full = grid.join(placed, "pos", "left").agg(
-        F.array_sort(F.collect_list(F.struct(
-            "pos", F.coalesce("counter", F.lit(0)).alias("counter")))).alias("cells"))
-    return full.select(F.col("cells.counter").alias("cells")).scalar()
-
-
-def _lookup_dense(keys: DataFrame, sketch: DataFrame, rows: list[HashRow],
-                  kinds: tuple[str, ...], w: int) -> DataFrame:
-    """The counters as one array that every task indexes: no join, no shuffle of the keys."""
-    width = min(w, PRIME)
-    table = _dense(sketch, kinds, len(rows), width)
-
-    def values(i: int, kind: str) -> Column:
-        return F.array(*[
-            _value(F.col("_r"), row, kind, w,
-                   lambda col: F.get(table, col + F.lit((i * len(rows) + j) * width)))
-            for j, row in enumerate(rows)])
-
-    return keys.withColumn("_r", residue(F.col("item"))).withColumns(
-        {f"_{kind}": values(i, kind) for i, kind in enumerate(kinds)}).drop("_r")
-
-
-def _lookup_join(keys: DataFrame, sketch: DataFrame, rows: list[HashRow],
-                 kinds: tuple[str, ...], w: int) -> DataFrame:
-    """The same by a join on (kind, j, col), for sketches too large for one array. Keys take part
-    through their residues, of which there are at most PRIME."""
-    reduced = keys.withColumn("_r", residue(F.col("item")))
+def _estimators(sketch: DataFrame, rows: list[HashRow], kinds: tuple[str, ...],
+                w: int) -> DataFrame:
+    """``_r`` and per kind the d signed counters of the items with that residue; PRIME rows."""
     r = F.col("_r")
-    probes = reduced.select("_r").distinct().select("_r", F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.lit(j).alias("j"),
-                 bucket(r, getattr(row, kind), w).alias("col"),
-                 (sign(r, row.sign) if kind == "cs" else F.lit(1)).alias("factor"))
-        for j, row in enumerate(rows) for kind in kinds])).alias("p")).select("_r", "p.*")
+    probes = sketch.sparkSession.range(PRIME).select(F.col("id").cast("int").alias("_r")).select(
+        "_r", F.explode(F.array(*[
+            F.struct(F.lit(kind).alias("kind"), F.lit(j).alias("j"),
+                     bucket(r, getattr(row, kind), w).alias("col"),
+                     (sign(r, row.sign) if kind == "cs" else F.lit(1)).alias("factor"))
+            for j, row in enumerate(rows) for kind in kinds])).alias("p")).select("_r", "p.*")
     found = F.coalesce("counter", F.lit(0)) * F.col("factor")
-    values = probes.join(sketch, ["kind", "j", "col"], "left").groupBy("_r").agg(
+    return probes.join(sketch, ["kind", "j", "col"], "left").groupBy("_r").agg(
         *[F.collect_list(F.when(F.col("kind") == kind, found)).alias(f"_{kind}")
           for kind in kinds])
-    return reduced.join(values, "_r").drop("_r")
 
 
 def sketch_estimates(keys: DataFrame, sketch: DataFrame, d: int, w: int, seed: int = 1,
@@ -126,11 +88,13 @@ def sketch_estimates(keys: DataFrame, sketch: DataFrame, d: int, w: int, seed: i
 
     ``cm`` is the least of its d Count-Min counters. ``cs`` is the median of its d signed Count
     Sketch counters; for even d half the sum of the middle two, cut toward zero. A key that the
-    sketch never saw is estimated like any other.
+    sketch never saw is estimated like any other; a null item has null estimates. The keys meet a
+    broadcast table of at most PRIME rows, so they are not shuffled.
     """
-    rows = hash_family(d, seed)
-    dense = d <= MAX_DENSE_ROWS and len(kinds) * d * min(w, PRIME) <= MAX_DENSE_CELLS
-    found = (_lookup_dense if dense else _lookup_join)(keys, sketch, rows, kinds, w)
+    values = _estimators(sketch, hash_family(d, seed), kinds, w)
+    if PRIME * d * len(kinds) <= MAX_BROADCAST_COUNTERS:
+        values = F.broadcast(values)
+    found = keys.withColumn("_r", residue(F.col("item"))).join(values, "_r", "left").drop("_r")
     ordered = F.sort_array("_cs")
     median = F.get(ordered, F.lit(d // 2))
     if d % 2 == 0:

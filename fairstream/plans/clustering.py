@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fairstream.operators.assign import assign, centers_frame
 from fairstream.operators.kmeans import (
-    fair_kmeans, fair_kmeans_step, fair_line_search, kmeans_centers,
+    fair_kmeans, fair_kmeans_step, fair_line_search, kmeans_centers, kmeans_init,
 )
 from fairstream.operators.moments import (
     fair_cluster_params, group_cluster_moments, group_dispersion,
@@ -15,7 +15,6 @@ from fairstream.operators.moments import (
 from fairstream.operators.objectives import (
     cluster_stats, compare_centers, fair_objective, group_sizes, standard_objective,
 )
-from fairstream.sources.generators import fair_balanced_points, fair_gap_points
 from fairstream.sources.points import (
     format_points, labelled_points, labelled_points_tolerant,
 )
@@ -24,7 +23,6 @@ from fairstream.sources.tables import read_table
 START = [(10.5, 2.5, 2.5), (23.25, 7.25, 3.75), (34.75, 3.25, 6.25), (44.5, 6.5, 1.5)]
 OTHER = [(8.67, 4.78, 3.95), (22.94, 5.48, 3.91), (34.36, 4.48, 4.37), (45.01, 5.23, 3.8)]
 ROUNDS = 3
-GENERATED_K = 25
 
 
 # ---------------------------------------------------------------- inputs
@@ -93,20 +91,6 @@ def format_points_query(spark, folder):
     return format_points(customer_points(spark, folder))
 
 
-def _generated(points: DataFrame) -> DataFrame:
-    return _rounded(points, "coords", "x", 2).select("point_id", "x0", "x1", "grp")
-
-
-def gen_gap_points(spark, folder):
-    n = read_table(spark, folder, "orders").count()
-    return _generated(fair_gap_points(spark, n, GENERATED_K))
-
-
-def gen_balanced_points(spark, folder):
-    n = read_table(spark, folder, "orders").count()
-    return _generated(fair_balanced_points(spark, n, GENERATED_K))
-
-
 def nearest_center(spark, folder):
     return assign(lineitem_points(spark, folder), START).select(
         "l_orderkey", "l_linenumber", "l_partkey", "cid", F.round("sqdist", 6).alias("sqdist"))
@@ -189,16 +173,60 @@ def kmeans_from_start(spark, folder):
 
 
 def kmeans_standard(spark, folder):
-    centers = kmeans_centers(lineitem_points(spark, folder), 4, 10, seed=1)
-    return _rounded(centers_frame(spark, centers), "coords", "c", 3)
+    """What the points alone determine of a standard k-means that ran to its fixed point.
+
+    Only there is every center the mean of its own points, so that the centers weighed by their
+    sizes average to the mean of all points. The start is drawn at random.
+    """
+    points = lineitem_points(spark, folder)
+    start = kmeans_init(points, 4, seed=1)
+    centers = kmeans_centers(points, 4, 1000, init_centers=start, tol=0.0)
+    sizes = cluster_stats(points, centers).withColumn("n", F.col("n_a") + F.col("n_b"))
+    total = standard_objective(points, centers).select("delta")
+    before = standard_objective(points, start).select(F.col("delta").alias("start"))
+    found = sizes.agg(
+        F.count(F.lit(1)).alias("clusters"), F.sum("n").alias("points"),
+        *(F.round(F.sum(F.col("center")[d] * F.col("n")) / F.sum("n"), 3).alias(f"mean{d}")
+          for d in range(3)))
+    return found.withColumn("no_worse", total.scalar() <= before.scalar() * (1 + 1e-9))
+
+
+def kmeans_init_count(spark, folder):
+    """The number of k-means|| starting centers, none of them equal."""
+    centers = kmeans_init(lineitem_points(spark, folder), 4, seed=1)
+    return centers_frame(spark, centers).agg(F.count_distinct("coords").alias("centers"))
+
+
+def _segment_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with the raw market segment as label: one of them is A, all others are not."""
+    segment = F.when(F.col("c_mktsegment") == "BUILDING", "A") \
+        .when(F.col("c_mktsegment") != "FURNITURE", F.col("c_mktsegment"))
+    return read_table(spark, folder, "customer").select(
+        F.array(F.col("c_acctbal") / 100, F.col("c_nationkey").cast("double")).alias("coords"),
+        segment.alias("grp"))
+
+
+def _segment_moments(spark: SparkSession, folder: str, k: int) -> DataFrame:
+    out = group_cluster_moments(_segment_points(spark, folder), segment_centers(k))
+    return _rounded(out.withColumn("ssd", F.round("ssd", 3)), "mu", "mu", 2)
+
+
+def segment_centers(k: int) -> list[tuple[float, float]]:
+    return [(-10.0 + 110.0 * i / k, float(7 * i % 25)) for i in range(k)]
+
+
+def segment_moments_few(spark, folder):
+    return _segment_moments(spark, folder, 4)
+
+
+def segment_moments_many(spark, folder):
+    return _segment_moments(spark, folder, 40)
 
 
 QUERIES = {
     "parse_points": parse_points,
     "parse_points_tolerant": parse_points_tolerant,
     "format_points": format_points_query,
-    "gen_gap_points": gen_gap_points,
-    "gen_balanced_points": gen_balanced_points,
     "nearest_center": nearest_center,
     "nearest_center_embeddings": nearest_center_embeddings,
     "group_sizes": group_sizes_query,
@@ -216,6 +244,9 @@ QUERIES = {
     "fair_kmeans": fair_kmeans_query,
     "kmeans_from_start": kmeans_from_start,
     "kmeans_standard": kmeans_standard,
+    "kmeans_init": kmeans_init_count,
+    "segment_moments_few": segment_moments_few,
+    "segment_moments_many": segment_moments_many,
 }
 
 
@@ -328,11 +359,14 @@ _PARAMS = f"{_MOMENTS},\n{_params(3, 'm', 'k')}"
 _LINE = """SELECT c_custkey, concat_ws(',', CAST(c_acctbal AS VARCHAR),
     CAST(c_nationkey AS VARCHAR), {label}) AS line FROM customer"""
 
-_UNIFORM = ("((CAST('0x' || substr(md5('1:{s}:' || CAST(id AS VARCHAR)), 1, 12) AS BIGINT)"
-            " + 0.5::DOUBLE) / 281474976710656::DOUBLE)")
-_GAUSS = f"""noise AS (SELECT id, n, sqrt(-2 * ln({_UNIFORM.format(s=1)})) AS r,
-    2 * pi() * {_UNIFORM.format(s=2)} AS a
-    FROM (SELECT unnest(range(n)) AS id, n FROM (SELECT count(*) AS n FROM orders)))"""
+def _segment_moments_sql(k: int) -> str:
+    return f"""WITH p AS MATERIALIZED (SELECT row_number() OVER () AS rid, c_acctbal / 100 AS x0,
+    CAST(c_nationkey AS DOUBLE) AS x1,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'A' ELSE 'B' END AS grp FROM customer),
+{_literal('c0', segment_centers(k))},
+{_near(2, 'c0', 'near')},
+{_moments(2, 'near', 'm')}
+SELECT cid, grp, n, round(ssd, 3) AS ssd, round(mu0, 2) AS mu0, round(mu1, 2) AS mu1 FROM m"""
 
 
 def _chain(step, rounds: int) -> str:
@@ -355,22 +389,11 @@ SELECT c_custkey, CAST(f[1] AS DOUBLE) AS x0, CAST(f[2] AS DOUBLE) AS x1, f[3] A
 FROM f WHERE len(f) >= 3""",
     "format_points": """SELECT printf('%.4f,%.4f,%s', c_acctbal, CAST(c_nationkey AS DOUBLE),
     CASE WHEN c_mktsegment = 'BUILDING' THEN 'A' ELSE 'B' END) AS value FROM customer""",
-    "gen_gap_points": f"""WITH {_GAUSS}
-SELECT id AS point_id,
-    round(CASE WHEN id < n - {GENERATED_K} THEN r * cos(a)
-        ELSE 500 * (id - (n - {GENERATED_K})) END, 6) AS x0,
-    round(CASE WHEN id < n - {GENERATED_K} THEN 100 + r * sin(a) ELSE 0 END, 6) AS x1,
-    CASE WHEN id = n - {GENERATED_K} THEN 'B' ELSE 'A' END AS grp FROM noise""",
-    "gen_balanced_points": f"""WITH {_GAUSS},
-site AS (SELECT generate_series AS s,
-    n // {GENERATED_K} + CASE WHEN generate_series < n % {GENERATED_K} THEN 1 ELSE 0 END AS size
-    FROM (SELECT count(*) AS n FROM orders), generate_series(0, {GENERATED_K - 1})),
-place AS (SELECT s, CAST(sum(size) OVER (ORDER BY s) AS BIGINT) - size AS first, size FROM site)
-SELECT id AS point_id,
-    round(500 * s + CASE WHEN id = first THEN 0 ELSE r * cos(a) END, 6) AS x0,
-    round(CASE WHEN id = first THEN 0 ELSE 100 + r * sin(a) END, 6) AS x1,
-    CASE WHEN id = first THEN 'B' ELSE 'A' END AS grp
-FROM noise JOIN place ON id >= first AND id < first + size""",
+    "kmeans_standard": f"""WITH {LINEITEM} SELECT CAST(4 AS BIGINT) AS clusters,
+    count(*) AS points, {_each(3, "round(avg(x{d}), 3) AS mean{d}")}, true AS no_worse FROM p""",
+    "kmeans_init": "SELECT CAST(4 AS BIGINT) AS centers",
+    "segment_moments_few": _segment_moments_sql(4),
+    "segment_moments_many": _segment_moments_sql(40),
     "nearest_center": f"""{_NEAR} SELECT l_orderkey, l_linenumber, l_partkey, cid,
     round(sqdist, 6) AS sqdist FROM near""",
     "nearest_center_embeddings": f"""WITH {EMBEDDINGS},

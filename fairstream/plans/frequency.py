@@ -14,14 +14,16 @@ from fairstream.operators.sketches import (
     cm_estimate, cm_sketch, cs_estimate, cs_sketch, merge_sketches, sketch_both,
 )
 from fairstream.session import scratch_dir
-from fairstream.sources.tables import read_table, stream_table
+from fairstream.sources.tables import read_table, stream_batches
 from fairstream.streaming.admission import BatchLog, admit, batch_sizes
 from fairstream.streaming.running import (
-    RunningTopK, Updates, running_counts, running_distinct, running_residues, running_sketches,
+    COUNTS, ITEMS, RESIDUES, RunningTopK, Updates, running_counts, running_distinct,
+    running_residues, running_sketches,
 )
 
 D, W = 5, 256
 EVENTS_D, EVENTS_W, EVENTS_K = 3, 16, 5
+WIDE_D, WIDE_W = 65, 4096
 PARTS_K = 10
 ADMIT_PERCENT = 35
 
@@ -36,11 +38,15 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def part_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return stream_table(spark, folder, "lineitem").select(F.col("l_partkey").alias("item"))
+    """The line items as a stream of micro-batches, one for each line number."""
+    rows = read_table(spark, folder, "lineitem").select(
+        F.col("l_partkey").alias("item"), F.col("l_linenumber").cast("int").alias("batch_id"))
+    return stream_batches(rows, "batch_id", scratch_dir(spark, "parts"))
 
 
 def user_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return stream_table(spark, folder, "events").select(F.col("user_id").alias("item"))
+    """The events as a stream of micro-batches, one for each day."""
+    return stream_batches(users(spark, folder), "batch_id", scratch_dir(spark, "users"))
 
 
 def _errors(df: DataFrame) -> DataFrame:
@@ -79,7 +85,7 @@ def sketch_merge_query(spark, folder):
     """Sketches of the two halves of the table, merged: the sketch of the whole."""
     lines = read_table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("item"), "l_linestatus")
-    open_lines = F.col("l_linestatus") == "O"
+    open_lines = F.col("l_linestatus").eqNullSafe("O")
     return merge_sketches(sketch_both(lines.where(open_lines), D, W),
                           sketch_both(lines.where(~open_lines), D, W))
 
@@ -94,6 +100,11 @@ def cs_estimate_query(spark, folder):
     return cs_estimate(distinct_items(items), cs_sketch(items, D, W), D, W)
 
 
+def cm_estimate_wide(spark, folder):
+    items = parts(spark, folder)
+    return cm_estimate(distinct_items(items), cm_sketch(items, WIDE_D, WIDE_W), WIDE_D, WIDE_W)
+
+
 def cs_estimate_even(spark, folder):
     items = parts(spark, folder)
     return cs_estimate(distinct_items(items), cs_sketch(items, 4, W), 4, W)
@@ -116,29 +127,31 @@ def batch_sizes_query(spark, folder):
 def threshold_admission(spark, folder):
     """Item counts over the batches (days) admitted until a share of all events is reached."""
     items = users(spark, folder)
-    return item_counts(admit(items, items.count() * ADMIT_PERCENT // 100))
+    total = batch_sizes(items).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    share = F.call_function("div", total.scalar() * ADMIT_PERCENT, F.lit(100).cast("long"))
+    return item_counts(admit(items, share))
 
 
 def stream_admission(spark, folder):
-    """The streaming form, with a threshold beyond the table so that every file is admitted."""
-    log = BatchLog(scratch_dir(spark, "admission"), threshold=1 << 62)
+    """The streaming form: it stops with the day that crosses the same threshold."""
+    total = read_table(spark, folder, "events").count()
+    log = BatchLog(scratch_dir(spark, "admission"), total * ADMIT_PERCENT // 100, every=4)
     log.run(user_stream(spark, folder))
     return log.item_counts(spark)
 
 
 def running_counts_query(spark, folder):
-    updates = Updates(scratch_dir(spark, "counts")).run(running_counts(part_stream(spark, folder)))
-    return updates.latest(spark, "item", "cnt")
+    updates = Updates(scratch_dir(spark, "counts"), COUNTS, every=3)
+    return updates.run(running_counts(part_stream(spark, folder))).latest(spark)
 
 
 def running_distinct_query(spark, folder):
-    updates = Updates(scratch_dir(spark, "distinct"))
-    updates.run(running_distinct(part_stream(spark, folder)), mode="append")
-    return updates.rows(spark).select("item")
+    updates = Updates(scratch_dir(spark, "distinct"), ITEMS, every=3)
+    return updates.run(running_distinct(part_stream(spark, folder)), mode="append").latest(spark)
 
 
 def running_sketches_query(spark, folder):
-    updates = Updates(scratch_dir(spark, "sketches"))
+    updates = Updates(scratch_dir(spark, "sketches"), RESIDUES, every=3)
     updates.run(running_residues(part_stream(spark, folder)))
     return running_sketches(spark, updates, D, W)
 
@@ -164,6 +177,7 @@ QUERIES = {
     "cs_sketch": cs_sketch_query,
     "sketch_merge": sketch_merge_query,
     "cm_estimate": cm_estimate_query,
+    "cm_estimate_wide": cm_estimate_wide,
     "cs_estimate": cs_estimate_query,
     "cs_estimate_even": cs_estimate_even,
     "hh_detail": hh_detail_query,
@@ -238,6 +252,13 @@ _USER_ERRORS = """count(*) AS n_hitters, round(avg(abs(cnt - cm) / cnt), 6) AS e
 _PART_COUNTS = f"WITH {_PARTS},\n{_COUNTS}"
 _USER_COUNTS = f"WITH {_USERS},\n{_COUNTS}"
 
+_ADMITTED = f"""WITH {_USERS},
+before AS (SELECT batch_id, coalesce(sum(n) OVER (ORDER BY batch_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen
+    FROM (SELECT batch_id, count(*) AS n FROM items GROUP BY batch_id))
+SELECT item, count(*) AS cnt FROM items JOIN before USING (batch_id)
+WHERE seen < (SELECT count(*) * {ADMIT_PERCENT} // 100 FROM items) GROUP BY item"""
+
 ORACLE = {
     "item_counts": f"{_PART_COUNTS} SELECT * FROM counts",
     "distinct_items": "SELECT DISTINCT l_partkey AS item FROM lineitem",
@@ -248,19 +269,16 @@ ORACLE = {
     "cs_sketch": f"{_PART_SKETCH} SELECT * FROM sketch WHERE kind = 'cs'",
     "sketch_merge": f"{_PART_SKETCH} SELECT * FROM sketch",
     "cm_estimate": f"{_PART_ESTIMATES} SELECT item, cm FROM est",
+    "cm_estimate_wide": f"{_sketched(_PARTS, WIDE_D, WIDE_W)},\n{_estimates(WIDE_D)} "
+        "SELECT item, cm FROM est",
     "cs_estimate": f"{_PART_ESTIMATES} SELECT item, cs FROM est",
     "cs_estimate_even":
         f"{_sketched(_PARTS, 4, W)},\n{_estimates(4)} SELECT item, cs FROM est",
     "hh_detail": f"{_USER_HITTERS} SELECT * FROM detail",
     "hh_avg_rel_error": f"{_USER_HITTERS} SELECT {_USER_ERRORS}",
     "batch_sizes": f"WITH {_USERS} SELECT batch_id, count(*) AS n FROM items GROUP BY batch_id",
-    "threshold_admission": f"""WITH {_USERS},
-before AS (SELECT batch_id, coalesce(sum(n) OVER (ORDER BY batch_id
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen
-    FROM (SELECT batch_id, count(*) AS n FROM items GROUP BY batch_id))
-SELECT item, count(*) AS cnt FROM items JOIN before USING (batch_id)
-WHERE seen < (SELECT count(*) * {ADMIT_PERCENT} // 100 FROM items) GROUP BY item""",
-    "stream_admission": f"{_USER_COUNTS} SELECT * FROM counts",
+    "threshold_admission": _ADMITTED,
+    "stream_admission": _ADMITTED,
     "running_counts": f"{_PART_COUNTS} SELECT * FROM counts",
     "running_distinct": "SELECT DISTINCT l_partkey AS item FROM lineitem",
     "running_sketches": f"{_PART_SKETCH} SELECT * FROM sketch",

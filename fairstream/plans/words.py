@@ -10,19 +10,19 @@ from fairstream.operators.wordcount import (
     avg_word_length, doc_word_totals, text_lines, tokenize, word_count, word_count_partitioned,
     word_count_salted,
 )
-from fairstream.sources.tables import read_table, spread
+from fairstream.sources.tables import read_table
 
 SALTS = 16
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The lines of all documents. A few large documents in one file are spread over the cores."""
-    return text_lines(spread(read_table(spark, folder, "documents").select("text")))
+    """The lines of all documents."""
+    return text_lines(read_table(spark, folder, "documents"))
 
 
 def tokenize_query(spark, folder):
     """Words, empty words and characters per document."""
-    documents = spread(read_table(spark, folder, "documents").select("doc_id", "text"))
+    documents = read_table(spark, folder, "documents")
     words = documents.select("doc_id", F.explode(split_lines(F.col("text"))).alias("value")) \
         .select("doc_id", F.explode(split_words(F.col("value"))).alias("word"))
     return words.groupBy("doc_id").agg(

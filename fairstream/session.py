@@ -45,5 +45,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def remove_scratch(spark: SparkSession, folder: str) -> None:
     """Removes a folder made under a name from ``scratch_dir``, wherever the cluster stores it."""
+    path, files = file_system(spark, folder)
+    files.delete(path, True)
+
+
+def file_system(spark: SparkSession, folder: str):
+    """A folder's path and the file system that holds it, as the cluster knows them."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def finished_batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the ``batch=<id>`` folders whose write was committed, in order."""
+    path, files = file_system(spark, folder)
+    if not files.exists(path):
+        return []
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(s.getPath().getName().removeprefix("batch=")) for s in files.listStatus(path)
+                  if s.getPath().getName().startswith("batch=")
+                  and files.exists(of(s.getPath(), "_SUCCESS")))

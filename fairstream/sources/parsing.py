@@ -12,7 +12,8 @@ def _ansi(spark: SparkSession) -> bool:
 
 def _strict(text: Column, kind: str) -> Column:
     complaint = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)).cast(kind)
-    return F.coalesce(text.try_cast(kind), complaint)
+    # a null text is a null number, as in a session that casts strictly
+    return F.when(text.isNotNull(), F.coalesce(text.try_cast(kind), complaint))
 
 
 def numbers(spark: SparkSession, fields: Column) -> Column:

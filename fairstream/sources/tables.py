@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fairstream.session import file_system
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -18,12 +20,18 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: i
         .parquet(f"{folder}/{name}.parque[t]")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """The rows over all cores when the scan has fewer splits than there are cores.
+def stream_batches(rows: DataFrame, batch: str, folder: str) -> DataFrame:
+    """``rows`` as a stream with one micro-batch for each value of ``batch``, an integer, in order.
 
-    Worth it before costly per-row work on a small file. A table of many splits is left as it is,
-    so nothing is shuffled where that would cost. ``scan`` must be a plain scan: its partitions are
-    counted from the plan without running it.
+    They are staged under ``folder`` as one file per value. A file source goes by file times, which
+    are set to the order of the values.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    spark = rows.sparkSession
+    rows.repartition(batch).write.partitionBy(batch).parquet(folder)
+    path, files = file_system(spark, folder)
+    parts = {int(s.getPath().getName().partition("=")[2]): s.getPath()
+             for s in files.listStatus(path) if s.isDirectory()}
+    for i, value in enumerate(sorted(parts)):
+        for file in files.listStatus(parts[value]):
+            files.setTimes(file.getPath(), 1_000_000_000_000 + 1000 * i, -1)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)

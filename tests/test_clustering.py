@@ -8,7 +8,9 @@ from hypothesis.extra.numpy import arrays
 from pyspark.sql import functions as F
 
 from fairstream.operators import assign as assign_module
-from fairstream.operators.assign import as_centers, assign, centers_frame, nearest
+from fairstream.operators.assign import (
+    MAX_EXPRESSION_TERMS, as_centers, assign, centers_frame, nearest,
+)
 from fairstream.operators.blocks import pack_points
 from fairstream.operators.kmeans import (
     fair_kmeans, fair_kmeans_step, fair_line_search, kmeans_centers, kmeans_init, line_search,
@@ -259,6 +261,92 @@ def test_standard_centers_are_unfair_on_the_gap_points(spark, k):
     assert 3.9 < row["ratio"] < 4.1
 
 
+LABELLED = [((0.0, 0.0), "A"), ((1.0, 0.0), "B"), ((0.0, 1.0), "C"), ((2.0, 0.0), None),
+            ((5.0, 5.0), "A"), ((5.5, 5.0), "")]
+
+
+@pytest.mark.parametrize("far", [0, 30])
+def test_answers_do_not_depend_on_the_number_of_centers(spark, far):
+    """Any label but A is group B, by arithmetic as well as by NumPy."""
+    df = spark.createDataFrame(LABELLED, "coords array<double>, grp string")
+    centers = [(0.0, 0.0), (5.0, 5.0)] + [(1e6 + i, 1e6) for i in range(far)]
+    assert (len(centers) * 2 > MAX_EXPRESSION_TERMS) == bool(far)
+    assert sorted(map(tuple, group_costs(df, centers).collect())) == [("A", 2, 0.0), ("B", 4, 6.25)]
+    moments = {(r["cid"], r["grp"]): (r["n"], list(r["mu"]))
+               for r in group_cluster_moments(df, centers).collect()}
+    assert moments == {(0, "A"): (1, [0, 0]), (0, "B"): (3, [1, pytest.approx(1 / 3)]),
+                       (1, "A"): (1, [5, 5]), (1, "B"): (1, [5.5, 5])}
+    assert [(r["n_a"], r["n_b"]) for r in cluster_stats(df, centers).collect()] == [(1, 3), (1, 1)]
+    assert fair_objective(df, centers).first()[0] == pytest.approx(6.25 / 4)
+    assert group_sizes(df).first() == (6, 2, 4)
+    assert sorted(r["cid"] for r in assign(df, centers).collect()) == [0, 0, 0, 0, 1, 1]
+
+
+@pytest.mark.parametrize("far", [0, 30])
+@pytest.mark.parametrize("coords", [[None, 1.0], [1.0, None], None, [1.0], [1.0, 2.0, 3.0]])
+def test_missing_coordinates_are_errors(spark, far, coords):
+    df = spark.createDataFrame([(coords, "A")], "coords array<double>, grp string")
+    centers = [(0.0, 0.0), (5.0, 5.0)] + [(1e6 + i, 1e6) for i in range(far)]
+    for query in (assign, fair_objective, group_cluster_moments):
+        with pytest.raises(Exception):
+            query(df, centers).collect()
+
+
+def test_centers_have_one_limit(spark, monkeypatch):
+    monkeypatch.setattr("fairstream.operators.assign.MAX_CENTERS", 3)
+    for centers in ([(float(i),) for i in range(4)],
+                    spark.range(4).selectExpr("cast(id as int) cid", "array(double(id)) coords")):
+        with pytest.raises(ValueError, match="more than 3 centers"):
+            as_centers(centers)
+
+
+def test_k_must_agree_with_the_start(points):
+    df = points("0,0,A", "2,4,B", "4,2,B")
+    for run in (lambda: kmeans_centers(df, 3, 1, init_centers=[(0, 0), (1, 1)]),
+                lambda: fair_kmeans(df, k=3, init_centers=[(0, 0), (1, 1)])):
+        with pytest.raises(ValueError, match="2 starting centers for k = 3"):
+            run()
+    with pytest.raises(ValueError, match="no points"):
+        kmeans_centers(df.limit(0), 1, 5)
+
+
+def test_text_file_to_fair_centers(spark, tmp_path):
+    """From a file of lines on, against numbers worked out by NumPy from the same points."""
+    rng = np.random.default_rng(11)
+    x = np.round(np.concatenate([rng.normal((0, 0), 1, (60, 2)), rng.normal((8, 1), 1, (40, 2)),
+                                 rng.normal((3, 9), 1, (30, 2))]), 4)
+    is_a = rng.random(len(x)) < 0.7
+    (tmp_path / "points.csv").write_text("".join(
+        f"{a},{b},{'A' if g else 'B'}\n" for (a, b), g in zip(x, is_a)))
+    df = labelled_points(read_lines(spark, str(tmp_path / "points.csv")))
+    centers = np.array([(0.0, 0.5), (7.0, 1.0), (3.0, 8.0)])
+    d = ((x[:, None] - centers) ** 2).sum(axis=2)
+    cid, least = d.argmin(axis=1), d.min(axis=1)
+    assert group_sizes(df).first() == (130, is_a.sum(), (~is_a).sum())
+    assert standard_objective(df, centers).first()[0] == pytest.approx(least.mean())
+    assert fair_objective(df, centers).first()[0] == pytest.approx(
+        max(least[is_a].mean(), least[~is_a].mean()))
+    assert [(r["n_a"], r["n_b"]) for r in cluster_stats(df, centers).collect()] == [
+        ((is_a & (cid == i)).sum(), (~is_a & (cid == i)).sum()) for i in range(3)]
+    # one fair step: the best point of each segment between the group means, by a fine grid
+    mean = [[x[(cid == i) & g].mean(axis=0) for i in range(3)] for g in (is_a, ~is_a)]
+    share = [[((cid == i) & g).sum() / g.sum() for i in range(3)] for g in (is_a, ~is_a)]
+    fixed = [sum(((x[(cid == i) & g] - m[i]) ** 2).sum() for i in range(3)) / g.sum()
+             for g, m in zip((is_a, ~is_a), mean)]
+    ell = np.array([np.linalg.norm(a - b) for a, b in zip(*mean)])
+    step = fair_kmeans(df, max_iter=1, init_centers=centers)
+    at = [np.linalg.norm(step[i] - mean[0][i]) / ell[i] for i in range(3)]
+
+    def worse(w):
+        w = np.asarray(w)
+        return max(fixed[0] + (share[0] * (w * ell) ** 2).sum(),
+                   fixed[1] + (share[1] * ((1 - w) * ell) ** 2).sum())
+
+    grid = min(worse([(1 - g) * share[1][i] / (g * share[0][i] + (1 - g) * share[1][i])
+                      for i in range(3)]) for g in np.linspace(1e-6, 1 - 1e-6, 20_001))
+    assert worse(at) == pytest.approx(grid, rel=1e-3)
+
+
 @pytest.mark.skipif("GOLDEN_POINTS" not in os.environ,
                     reason="GOLDEN_POINTS: path of the published 1012-point city sample")
 def test_published_sample(spark):

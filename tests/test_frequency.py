@@ -109,10 +109,12 @@ def test_sketches_and_estimates(spark, monkeypatch, d, w):
         for r in sketch.where(F.col("kind") == kind).collect():
             got[r["j"], r["col"]] = r["counter"]
         assert (got == table).all()
-    keys = df.distinct().unionByName(_items(spark, [123456789]))  # one the sketch never saw
-    want = {x: estimate(x) for x in {*values, 123456789}}
-    for limit in (sketches_module.MAX_DENSE_CELLS, 0):  # by array, then by join
-        monkeypatch.setattr(sketches_module, "MAX_DENSE_CELLS", limit)
+    # one the sketch never saw, and a null
+    others = spark.createDataFrame([(123456789,), (None,)], "item long")
+    keys = df.distinct().unionByName(others)
+    want = {x: estimate(x) for x in {*values, 123456789}} | {None: (None, None)}
+    for limit in (sketches_module.MAX_BROADCAST_COUNTERS, 0):  # broadcast or not
+        monkeypatch.setattr(sketches_module, "MAX_BROADCAST_COUNTERS", limit)
         got = {r["item"]: (r["cm"], r["cs"])
                for r in sketch_estimates(keys, sketch, d, w).collect()}
         assert got == want

@@ -11,7 +11,7 @@ from fairstream.operators.frequency import item_counts, top_k_heavy_hitters
 from fairstream.operators.objectives import fair_objective
 from fairstream.operators.sketches import cm_estimate, cm_sketch
 from fairstream.operators.wordcount import tokenize, word_count
-from fairstream.plans import clustering, frequency
+from fairstream.plans import clustering, frequency, words
 from fairstream.session import scratch_dir
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -22,7 +22,11 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+# the operators over documents write tables while they build their plans; tests/llm covers them
+OWN = sorted(n for n in contract.queries() if not re.match(r"op\d+_|pipeline$", n))
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_no_cartesian_plan(spark, name):
     text = plan(contract.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
@@ -59,7 +63,15 @@ def test_estimates_do_not_shuffle_the_keys(spark):
     items = frequency.parts(spark, FOLDER)
     keys = spark.range(100).select(F.col("id").alias("item"))
     text = plan(cm_estimate(keys, cm_sketch(items, 5, 256), 5, 256))
-    assert "Exchange" not in text.split("Subquer")[0]
+    # the keys are the first scan below the broadcast join
+    join, _, rest = text.partition("BroadcastHashJoin")
+    assert rest and "Exchange" not in join
+    assert "Exchange" not in rest[:rest.index("Range (")]
+
+
+def test_text_is_not_shuffled_before_it_is_split(spark):
+    text = plan(words.word_count_query(spark, FOLDER))
+    assert "RoundRobin" not in text and text.count("Exchange") == 1
 
 
 def test_top_k_does_not_sort_all_counts(spark):
@@ -69,7 +81,6 @@ def test_top_k_does_not_sort_all_counts(spark):
 
 
 def test_scratch_lies_under_the_named_folder(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        assert scratch_dir(spark, "x").startswith(base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    assert scratch_dir(spark, "x").startswith(base)
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")

@@ -45,8 +45,8 @@ def test_parse_rejects(points, ansi, line):
 
 
 def test_items(spark, ansi):
-    lines = spark.createDataFrame([("5",), ("-7",)], "value string")
-    assert [r["item"] for r in parse_items(lines).collect()] == [5, -7]
+    lines = spark.createDataFrame([("5",), ("-7",), (None,)], "value string")
+    assert [r["item"] for r in parse_items(lines).collect()] == [5, -7, None]
     with pytest.raises(Exception):
         parse_items(spark.createDataFrame([("5.5",)], "value string")).collect()
 
