@@ -11,6 +11,8 @@ from fairstream.llm.common import stored
 SAMPLES, BITS = 32, 24
 _SPACE = r"[\x20\x09-\x0D]+"
 _THIRD = 1 << 21
+#: Stands for a null id, as the least key of all.
+NO_KEY = -(1 << 63)
 
 
 def _uniform(mix: Column, third: int) -> Column:
@@ -96,32 +98,36 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A null text is empty; a text without words has the fingerprint ''. A null id comes last. Rows
     that share an id have the same next document, and where that id has several texts, the least
-    of them; repeated rows are kept. Each text is shuffled once by its id, and the part that the next
-    document gives once more. Which of several texts under the next id is the least goes by the part
-    that it gives.
+    of them by the part that it gives; repeated rows are kept. Each text is shuffled once by its id,
+    and the part that the next document gives once more.
     """
-    rows = docs.select(docs[id_col].alias("id"),
-                       F.coalesce(docs[id_col].cast("long"), F.lit(-(1 << 63))).alias("key"),
-                       F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    links = stored(following(rows), "links")
-    half = F.floor(F.length("text") / 2).cast("int")
+    kind = docs.select(id_col).schema[0].dataType
+    # placed by key once; both the texts' own rows and what they give to others read this shuffle
+    rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_KEY)).alias("key"),
+                       F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")) \
+        .repartition("key")
+    links = stored(following(docs.select(
+        F.coalesce(docs[id_col].cast("long"), F.lit(NO_KEY)).alias("key"))), "links")
     # the longest half that any text under a key needs from its next document
-    sizes = rows.groupBy("key").agg(F.max(half).alias("need"))
+    half = F.floor(F.length(F.coalesce(docs[text_col].cast("string"), F.lit(""))) / 2)
+    sizes = docs.groupBy(F.coalesce(docs[id_col].cast("long"), F.lit(NO_KEY)).alias("key")) \
+        .agg(F.max(half.cast("int")).alias("need"))
     given = links.join(sizes, "key").select(F.col("key").alias("to"), F.col("next"), "need")
     parts = given.join(rows.select(F.col("key").alias("next"), F.col("text").alias("other")),
-                       "next").select("to", F.expr("left(other, need)").alias("part"), "other")
+                       "next").select("to", F.expr("left(other, need)").alias("part"),
+                                      F.xxhash64("other").alias("other"))
     least = Window.partitionBy("to").orderBy("part", "other")
-    donors = parts.select("to", "part", F.xxhash64("other").alias("other")) \
-        .withColumn("n", F.row_number().over(least)).where(F.col("n") == 1) \
+    donors = parts.withColumn("n", F.row_number().over(least)).where(F.col("n") == 1) \
         .select(F.col("to").alias("key"), "part", "other")
     joined = rows.join(donors, "key").select(
-        "key", F.xxhash64("text").alias("uid"), "id", "text", "other",
+        "key", F.xxhash64("text").alias("uid"), "text", "other",
         F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"),
                  F.expr("left(part, cast(floor(length(text) / 2) as int))")).alias("edited"))
-    once = joined.dropDuplicates(["key", "uid"])
-    own = signatures(once, ["key", "uid"], "text")
-    edited = signatures(once, ["key", "uid"], "edited").withColumnRenamed("sig", "edited_sig")
-    base = joined.select("key", "uid", "id", "other", F.length("text").cast("long").alias("n_chars"),
+    own = signatures(rows.withColumn("uid", F.xxhash64("text")).dropDuplicates(["key", "uid"]),
+                     ["key", "uid"], "text")
+    edited = signatures(joined.select("key", "uid", "edited").dropDuplicates(["key", "uid"]),
+                        ["key", "uid"], "edited").withColumnRenamed("sig", "edited_sig")
+    base = joined.select("key", "uid", "other", F.length("text").cast("long").alias("n_chars"),
                          F.sha2(F.col("edited"), 256).alias("edited_sha256"))
     narrow = stored(base.join(own, ["key", "uid"], "left").join(edited, ["key", "uid"], "left"),
                     "fingerprints")
@@ -129,7 +135,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                      F.col("sig").alias("next_sig"))
                        .dropDuplicates(["next", "other"]), "next").drop("next")
     return narrow.join(nexts, ["key", "other"], "left").select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256",
+        F.when(F.col("key") != NO_KEY, F.col("key")).cast(kind).alias(id_col),
+        "n_chars", "edited_sha256",
         _text_of(F.col("sig")).alias("fingerprint"),
         _text_of(F.col("edited_sig")).alias("edited_fingerprint"),
         _likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
