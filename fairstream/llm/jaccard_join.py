@@ -25,6 +25,10 @@ ORDERS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 GATHERED, CROWD = 1 << 21, 16
 #: Bits of the filter that keeps sets without candidates from being shuffled, at most.
 MOST_FILTER_BITS = 1 << 28
+#: What a posting says of its set: number, id that stands for it, component, size, place.
+FIELDS = ("node", "own", "comp", "size", "pos")
+#: Stands for a null id.
+NO_KEY = -(1 << 63)
 
 
 def prefix_length(n: int) -> int:
@@ -111,11 +115,23 @@ def collect_sketch(described: DataFrame) -> np.ndarray:
     return sketch
 
 
+def _sorted(t: np.ndarray, d: np.ndarray, q: np.ndarray):
+    """Postings by token and node, each once, and which of them is its token's first."""
+    order = np.lexsort((d, t))
+    t, d, q = t[order], d[order], q[order]
+    new = np.ones(len(t), bool)
+    new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
+    t, d, q = t[new], d[new], q[new]
+    first = np.ones(len(t), bool)
+    first[1:] = t[1:] != t[:-1]
+    return t, d, q, first
+
+
 def shared_postings(rows: DataFrame, sketch: np.ndarray, ranges: int) -> DataFrame:
-    """``token, node`` for the prefix tokens that two different sets share.
+    """``token, node, pos`` for the prefix tokens that two different sets share.
 
-    The first global order goes by a token's counter, rare before frequent, and then by its hash. A
-    task passes its postings on as one blob for each range of tokens. Where many of its sets share a
+    The first global order goes by a token's counter, rare before frequent, and then by its hash;
+    ``pos`` is a token's place in it within the set. A task passes its postings on as one blob for each range of tokens. Where many of its sets share a
     token, these are passed on at random places, as it is known already that they are shared, and
     only one of them goes to the token's range; so a token of very many sets is no large group.
     """
@@ -125,39 +141,33 @@ def shared_postings(rows: DataFrame, sketch: np.ndarray, ranges: int) -> DataFra
     def gather(batches):
         shingler, counters = Shingler(), shared.value
         shift = np.uint64(64 - COUNTERS.bit_length() + 1)
-        tokens, nodes, held, at = [], [], 0, 0
+        tokens, nodes, places, held, at = [], [], [], 0, 0
 
-        def blobs(r, t, d, sure):
+        def blobs(r, t, d, q, sure):
             order = np.argsort(r, kind="stable")
-            r, t, d = r[order], t[order], d[order]
+            r, t, d, q = r[order], t[order], d[order], q[order]
             cuts = np.flatnonzero(np.diff(r)) + 1
             firsts = np.concatenate(([0], cuts)) if len(r) else cuts
-            parts = zip(np.split(t, cuts), np.split(d, cuts)) if len(r) else ()
-            data = [a.tobytes() + b.tobytes() for a, b in parts]
+            parts = zip(*(np.split(x, cuts) for x in (t, d, q))) if len(r) else ()
+            data = [b"".join(x.tobytes() for x in part) for part in parts]
             return pa.RecordBatch.from_arrays(
                 [pa.array(r[firsts], pa.int32()), pa.array([sure] * len(data), pa.bool_()),
                  pa.array(data, pa.binary())], ["r", "sure", "data"])
 
         def pass_on():
-            nonlocal tokens, nodes, held, at
-            t, d = np.concatenate(tokens), np.concatenate(nodes)
-            tokens, nodes, held = [], [], 0
-            order = np.lexsort((d, t))
-            t, d = t[order], d[order]
-            new = np.ones(len(t), bool)
-            new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
-            t, d = t[new], d[new]
-            first = np.ones(len(t), bool)
-            first[1:] = t[1:] != t[:-1]
+            nonlocal tokens, nodes, places, held, at
+            t, d, q, first = _sorted(*(np.concatenate(x) for x in (tokens, nodes, places)))
+            tokens, nodes, places, held = [], [], [], 0
             of = np.cumsum(first) - 1
             crowded = np.bincount(of)[of] >= CROWD
             own = ~crowded | first
-            yield blobs((t[own] >> np.uint64(64 - bits)).astype(np.int64), t[own], d[own], False)
+            yield blobs((t[own] >> np.uint64(64 - bits)).astype(np.int64), t[own], d[own], q[own],
+                        False)
             if crowded.any():
-                t, d = t[crowded], d[crowded]
-                places = (np.arange(len(t)) // 1024 + at) % ranges
+                t, d, q = t[crowded], d[crowded], q[crowded]
+                anywhere = (np.arange(len(t)) // 1024 + at) % ranges
                 at += len(t) // 1024 + 1
-                yield blobs(places, t, d, True)
+                yield blobs(anywhere, t, d, q, True)
 
         seen: set[int] = set()
         for batch in batches:
@@ -172,6 +182,7 @@ def shared_postings(rows: DataFrame, sketch: np.ndarray, ranges: int) -> DataFra
                 some = some[order[:prefix_length(len(some))]]
                 tokens.append(some)
                 nodes.append(np.full(len(some), node, np.int64))
+                places.append(np.arange(len(some), dtype=np.int32))
                 held += len(some)
                 if held >= GATHERED:
                     yield from pass_on()
@@ -180,57 +191,49 @@ def shared_postings(rows: DataFrame, sketch: np.ndarray, ranges: int) -> DataFra
             yield from pass_on()
 
     def meet(batches):
-        def postings(t, d):
+        def postings(t, d, q):
             return pa.RecordBatch.from_arrays(
-                [pa.array(t.astype(np.int64), pa.int64()), pa.array(d, pa.int64())],
-                ["token", "node"])
+                [pa.array(t.astype(np.int64), pa.int64()), pa.array(d, pa.int64()),
+                 pa.array(q, pa.int32())], ["token", "node", "pos"])
 
         def shared_of(parts):
-            t = np.concatenate([p[0] for p in parts])
-            d = np.concatenate([p[1] for p in parts])
-            order = np.lexsort((d, t))
-            t, d = t[order], d[order]
-            new = np.ones(len(t), bool)
-            new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
-            t, d = t[new], d[new]
-            first = np.ones(len(t), bool)
-            first[1:] = t[1:] != t[:-1]
+            t, d, q, first = _sorted(*(np.concatenate(x) for x in zip(*parts)))
             of = np.cumsum(first) - 1
             several = np.bincount(of)[of] > 1 if len(of) else first
-            return postings(t[several], d[several])
+            return postings(t[several], d[several], q[several])
 
         now, parts = None, []
         for batch in batches:
             for r, sure, data in zip(batch.column("r").to_pylist(),
                                      batch.column("sure").to_pylist(), batch.column("data")):
                 raw = data.as_py()
-                half = len(raw) // 2
-                t, d = np.frombuffer(raw[:half], np.uint64), np.frombuffer(raw[half:], np.int64)
+                n = len(raw) // 20
+                part = (np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.int64, n, 8 * n),
+                        np.frombuffer(raw, np.int32, n, 16 * n))
                 if sure:
-                    yield postings(t, d)
+                    yield postings(*part)
                     continue
                 if r != now and parts:
                     yield shared_of(parts)
                     parts = []
                 now = r
-                parts.append((t, d))
+                parts.append(part)
         if parts:
             yield shared_of(parts)
 
     return rows.mapInArrow(gather, "r int, sure boolean, data binary") \
         .repartition("r").sortWithinPartitions("r") \
-        .mapInArrow(meet, "token long, node long")
+        .mapInArrow(meet, "token long, node long, pos int")
 
 
-def _filter_bits(nodes: DataFrame) -> np.ndarray:
-    """A Bloom filter of the nodes, of a size that follows their number up to a fixed bound."""
-    n = nodes.count()
-    bits = min(MOST_FILTER_BITS, 1 << max(16, (16 * n).bit_length()))
+def _filter_bits(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of the keys, of a size that follows their number up to a fixed bound."""
+    bits = min(MOST_FILTER_BITS, 1 << max(16, (16 * keys.count()).bit_length()))
 
     def build(batches):
         own = np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            for place in _places(batch.column("node").to_numpy(zero_copy_only=False), bits):
+            for place in _places(batch.column("key").to_numpy(zero_copy_only=False), bits):
                 np.bitwise_or.at(own, place >> 3, np.uint8(1) << (place & 7).astype(np.uint8))
         for i in range(0, len(own), 1 << 13):
             if own[i:i + (1 << 13)].any():
@@ -248,7 +251,7 @@ def _filter_bits(nodes: DataFrame) -> np.ndarray:
             [pa.array(list(sums), pa.int64()),
              pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["at", "part"])
 
-    parts = nodes.mapInArrow(build, "at long, part binary").repartition("at") \
+    parts = keys.mapInArrow(build, "at long, part binary").repartition("at") \
         .mapInArrow(unite, "at long, part binary")
     filter_ = np.zeros(bits // 8, np.uint8)
     for i, part in parts.collect():
@@ -256,41 +259,42 @@ def _filter_bits(nodes: DataFrame) -> np.ndarray:
     return filter_
 
 
-def _places(nodes: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [(mix(nodes.astype(np.uint64), seed) & np.uint64(bits - 1)).astype(np.int64)
-            for seed in (11, 12, 13)]
+def _places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [(mix(keys.astype(np.int64).view(np.uint64), seed) & np.uint64(bits - 1))
+            .astype(np.int64) for seed in (11, 12, 13)]
 
 
-def needed_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, tokens`` of the given nodes, one row each, tokens as the bytes of sorted numbers."""
-    shared = rows.sparkSession.sparkContext.broadcast(_filter_bits(nodes))
+def needed_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``node, tokens`` of the documents with the given keys, tokens as bytes of sorted numbers.
+
+    The filter of the keys may let a few others pass, which meet no pair later.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(_filter_bits(keys))
 
     def run(batches):
-        shingler, filter_, seen = Shingler(), shared.value, set()
+        shingler, filter_ = Shingler(), shared.value
         bits = 8 * len(filter_)
         for batch in batches:
+            own = batch.column("key").fill_null(NO_KEY).to_numpy(zero_copy_only=False)
+            wanted = np.ones(len(own), bool)
+            for place in _places(own, bits):
+                wanted &= (filter_[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
             found, data, held = [], [], 0
-            for _, tokens in _sets(batch, shingler):
-                node = _node(tokens) if len(tokens) else None
-                if node is None or node in seen:
+            for _, tokens in _sets(batch.filter(pa.array(wanted)), shingler):
+                if not len(tokens):
                     continue
-                if all(filter_[p[0] >> 3] >> (p[0] & 7) & 1
-                       for p in _places(np.array([node]), bits)):
-                    seen.add(node)
-                    found.append(node)
-                    data.append(tokens.tobytes())
-                    held += len(tokens)
+                found.append(_node(tokens))
+                data.append(tokens.tobytes())
+                held += len(tokens)
                 if held >= GATHERED:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(found, pa.int64()), pa.array(data, pa.binary())],
                         ["node", "tokens"])
                     found, data, held = [], [], 0
-                    seen.clear()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.int64()), pa.array(data, pa.binary())], ["node", "tokens"])
 
-    # copies of a set in other tasks are equal rows, of which any may stay
-    return rows.mapInArrow(run, "node long, tokens binary").join(nodes, "node", "left_semi")
+    return rows.mapInArrow(run, "node long, tokens binary")
 
 
 def shares_prefixes(a: np.ndarray, b: np.ndarray) -> bool:
@@ -320,24 +324,20 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [links(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
                     for x, y in zip(batch.column("x"), batch.column("y"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                [batch.column("a"), batch.column("b")], ["a", "b"]) \
+                .filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b") \
         .select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"),
-                                        F.greatest("a", "b").alias("b")).distinct()
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row the id, ``n_shingles`` and ``component_id``.
 
     Equal sets are one node. Sets that may link share a prefix token under every global order:
-    tables of shared tokens under the first order give the candidates, further orders filter them,
-    and what is left is verified. Links inside a component tell nothing new, so tokens first compare
+    tables of shared tokens under the first order give the candidates, places in it and further
+    orders filter them, and what is left is verified. Links inside a component tell nothing new, so tokens first compare
     their sets with one of them, then with another for each token, and at last all pairs of sets
     that share a token and are in different components by then. So large groups of near copies
     never give all their pairs, while every link counts.
@@ -353,38 +353,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_docs = described.where(F.col("block").isNull()).select("key", "n", "node")
     total = of_docs.agg(F.sum("n")).first()[0] or 0
     ranges = 1 << min(16, max(10, (total >> 20).bit_length()))
-    postings = stored(shared_postings(rows, collect_sketch(described), ranges).distinct(),
-                      "postings")
-    sets = stored(needed_sets(rows, postings.select("node").distinct()), "sets") \
-        .dropDuplicates(["node"])
-    sizes = sets.select("node", (F.octet_length("tokens") / 8).cast("long").alias("size"))
-    postings = stored(postings.join(sizes, "node"), "postings")
+    # one document of each node stands for it
+    nodes = stored(of_docs.where(F.col("node").isNotNull()).groupBy("node").agg(
+        F.min("key").alias("key"), F.max("n").alias("size")), "nodes")
+    own = nodes.select("node", F.coalesce("key", F.lit(NO_KEY)).alias("own"), "size")
+    postings = stored(shared_postings(rows, collect_sketch(described), ranges).distinct()
+                      .join(own, "node"), "postings")
 
     def fitting(pairs: DataFrame) -> DataFrame:
-        small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-        return _ordered(pairs.where(100 * small >= PER_CENT * large))
+        """Pairs of different components that may link, each once, smaller node first.
+
+        At the first token that two sets share, no more can be common than what either has from
+        there on; a link needs PER_CENT / (100 + PER_CENT) of both sizes together.
+        """
+        rest = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
+        need = PER_CENT * (F.col("size_a") + F.col("size_b"))
+        ends = [F.struct(F.col(f"node_{x}").alias("node"), F.col(f"own_{x}").alias("own"))
+                for x in "ab"]
+        return pairs.where((100 + PER_CENT) * rest >= need).where("comp_a <> comp_b") \
+            .select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")) \
+            .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"),
+                    F.col("a.own").alias("own_a"), F.col("b.own").alias("own_b")).distinct()
 
     def member(name: str) -> DataFrame:
-        return postings_now.select("token", F.col("node").alias(name), F.col("comp").alias(
-            f"comp_{name}"), F.col("size").alias(f"size_{name}"))
+        return postings_now.select("token", *(F.col(c).alias(f"{c}_{name}")
+                                              for c in FIELDS))
 
     postings_now = postings.withColumn("comp", F.col("node"))
     edges = done = None
     for turn in ("least", "any", "all"):
         if turn == "all":
-            pairs = member("a").join(member("b"), "token").where("a < b and comp_a <> comp_b")
+            pairs = member("a").join(member("b"), "token").where("node_a < node_b")
         else:
             rank = F.col("node") if turn == "least" else F.xxhash64("node", "token")
             hubs = postings_now.groupBy("token").agg(
-                F.min(F.struct(rank.alias("rank"), "node", "comp", "size")).alias("hub"))
-            pairs = member("a").join(hubs, "token").select(
-                "a", "comp_a", "size_a", F.col("hub.node").alias("b"),
-                F.col("hub.comp").alias("comp_b"), F.col("hub.size").alias("size_b")) \
-                .where("comp_a <> comp_b")
+                F.min(F.struct(rank.alias("rank"), *FIELDS)).alias("hub"))
+            hubs = hubs.select("token", *(F.col(f"hub.{c}").alias(f"{c}_b") for c in FIELDS))
+            pairs = member("a").join(hubs, "token")
         pairs = fitting(pairs)
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        if edges is not None and pairs.isEmpty():
+            continue
+        keys = pairs.select(F.explode(F.array("own_a", "own_b")).alias("key")).distinct()
+        sets = stored(needed_sets(rows, keys), "sets")
+        pairs = pairs.select("a", "b")
         found = stored(verified(pairs, sets), "links")
         edges = found if edges is None else edges.union(found)
         done = pairs if done is None else done.union(pairs)
@@ -397,10 +411,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                                 F.count(F.lit(1)).alias("sets")) \
                 .where("low <> high and sets > 2").select("token")
             postings_now = stored(placed.join(mixed, "token", "left_semi"), "postings")
-    nodes = of_docs.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("key").alias("key")) \
-        .join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    names = nodes.groupBy("comp").agg(F.min("key").alias("component_id"))
-    of_nodes = stored(nodes.join(names, "comp").select("node", "component_id"), "classes")
+    placed = nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    names = placed.groupBy("comp").agg(F.min("key").alias("component_id"))
+    of_nodes = stored(placed.join(names, "comp").select("node", "component_id"), "classes")
     return of_docs.join(of_nodes, "node", "left").select(
         F.col("key").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id"))
