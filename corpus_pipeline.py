@@ -15,7 +15,7 @@ LEAST_SCORE = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents of a recognised language; without languages to learn from, all that have letters."""
+    """Documents of a recognised language, or with letters if there is none to learn from."""
     network = language_id.train(docs, ~held_out(F.col("doc_id")))
     if network is None:
         return docs.where(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))

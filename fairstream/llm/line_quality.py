@@ -73,7 +73,7 @@ def line_features(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _neighbours(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Indices of the active weights of each line: its own bins, and those of the lines beside it."""
+    """The active weights of each line: those of its own bins and of the lines beside it."""
     width = FEATURES * (BINS + 1)
     own = cells + np.arange(FEATURES) * (BINS + 1)
     firsts = np.append(0, np.cumsum(counts)[:-1])

@@ -138,8 +138,8 @@ def _reach(rows: DataFrame, needs: DataFrame) -> DataFrame:
     """``k, below``: the threshold of every source below which rows hold ``need`` words.
 
     ``rows`` are ``k, place, size`` with places of ORDER_BITS bits, ``needs`` are ``k, need``. The
-    passes sum the sizes of at most 2^PASS_BITS cells of a source and go on in the cell where the need is
-    met; so no task holds a source's documents. The last cell is taken if that comes nearer.
+    passes sum the sizes of at most 2^PASS_BITS cells of a source and go on in the cell where the
+    need is met; so no task holds a source's documents. The last cell is taken if that comes nearer.
     """
     zero = F.lit(0).cast("long")
     at = stored(needs.select("k", F.greatest("need", F.lit(0.0)).alias("need"),

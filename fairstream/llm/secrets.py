@@ -94,9 +94,9 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str]
 
     ``ranks_path`` and ``pattern`` give the tokenizer: its file of byte ranks and its splitting
     pattern. Positions are code points, ends exclusive. Columns: those of ``keep``, ``n_assign``,
-    ``n_access``, ``n_hex``, ``n_opaque``, ``base_sha256`` (of the joined spans of the fixed patterns), ``spans``
-    (all) and ``redacted``. A null text counts as empty, and is null again in ``redacted``; repeated
-    rows are scanned row by row. The vocabulary, of fixed size, is broadcast; nothing is shuffled.
+    ``n_access``, ``n_hex``, ``n_opaque``, ``base_sha256`` (of the joined spans of the fixed
+    patterns), ``spans`` (all) and ``redacted``. A null text counts as empty, and is null again in
+    ``redacted``; repeated rows are scanned row by row. The vocabulary, of fixed size, is broadcast; nothing is shuffled.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
