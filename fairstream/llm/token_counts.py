@@ -18,7 +18,9 @@ CACHED_WORDS = 300_000
 def read_pieces(path: str) -> tuple[set[bytes], set[bytes]]:
     """Pieces that start a word and pieces that continue one, of a vocabulary file of byte ranks.
 
-    A token with a leading space starts a word; one without white space continues it.
+    A token with a leading space starts a word; one without white space continues it. Where no
+    token with a leading space fits, a word starts with a continuing piece: such pieces are
+    starts too unless they begin with a start, so that they change no other word.
     """
     starts, inner = set(), set()
     with open(path, "rb") as lines:
@@ -28,7 +30,8 @@ def read_pieces(path: str) -> tuple[set[bytes], set[bytes]]:
                 starts.add(token[1:])
             elif len(token.split()) == 1 and token == token.strip():
                 inner.add(token)
-    return starts, inner
+    bare = {p for p in inner if not any(p[:n] in starts for n in range(1, len(p) + 1))}
+    return starts | bare, inner
 
 
 class Automaton:

@@ -1,5 +1,6 @@
 """Packing, token counts and secret scans."""
 
+import base64
 import hashlib
 import re
 import zlib
@@ -117,6 +118,31 @@ def test_token_counts(edge_docs, vocabulary):
     assert len(found) == len(EDGES)
 
 
+def test_words_without_a_start_piece_begin_with_continuing_pieces(docs, vocabulary):
+    with open(vocabulary["ranks"], "rb") as lines:
+        tokens = [base64.b64decode(line.split()[0]) for line in lines]
+    starts = {t[1:] for t in tokens if t[:1] == b" " and len(t) > 1 and len(t.split()) == 1}
+    inner = {t for t in tokens if t == t.strip() and len(t.split()) == 1}
+
+    def pieces_of(word):
+        fits = any(word[:n] in starts for n in range(1, len(word) + 1))
+        return greedy(word, starts if fits else inner, inner)
+
+    words = ("русский текст данные 中文文本没有空格 今天天气很好 한국어 문장 ภาษาไทย ქართული हिन्दी "
+             "العربية עברית \U0001f600 word naïve x1y2").split()
+    rng = np.random.default_rng(4)
+    whole = [w.encode() for w in words] + [("中文文本" * 50).encode()]
+    some = [bytes(rng.integers(33, 256, rng.integers(1, 12), np.uint8)) for _ in range(3000)]
+    automaton = token_counts.Automaton(*token_counts.read_pieces(vocabulary["ranks"]))
+    for word in (*whole, *some):
+        assert automaton.count(word) == pieces_of(word), word
+    assert automaton.count(whole[-1]) > 50
+    row, = token_counts.token_counts(docs((1, " ".join(words))),
+                                     token_counts.read_pieces(vocabulary["ranks"])).collect()
+    counts = [pieces_of(w.encode()) for w in words]
+    assert tuple(row) == (1, len(words), sum(counts), max(counts))
+
+
 def test_token_counts_of_nothing(docs, vocabulary):
     pieces = token_counts.read_pieces(vocabulary["ranks"])
     assert token_counts.token_counts(docs(), pieces).collect() == []
