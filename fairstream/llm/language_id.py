@@ -122,15 +122,18 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text",
           lang_col: str = "lang") -> ByteNetwork | None:
     """A network learned from rows where ``usable`` holds and language and text are known.
 
-    Of each language, at most ``SAMPLE_TEXTS`` texts are used, chosen by a hash. None if there is no
+    Of each language, at most ``SAMPLE_TEXTS`` different texts are used, chosen by a hash: copies
+    count once, so that no language or text is lost to the copies of another. None if there is no
     such row.
     """
     known = docs.where(usable & docs[lang_col].isNotNull() & docs[text_col].rlike(r"\p{L}"))
     rows = known.select(known[lang_col].cast("string").alias("lang"),
                         known[text_col].cast("string").alias("text"))
+    rows = rows.withColumn("mix", F.xxhash64("text", "lang"))
+    chosen = sampled(rows.select("lang", "mix").distinct(), "lang", SAMPLE_TEXTS, F.col("mix"))
     # up to SAMPLE_WINDOWS windows of each chosen text are learned
-    rows = sampled(rows, "lang", SAMPLE_TEXTS, F.xxhash64("text", "lang")) \
-        .select("lang", "text").orderBy("lang", "n").toPandas()
+    rows = rows.join(F.broadcast(chosen), ["lang", "mix"]).groupBy("lang", "n") \
+        .agg(F.min("text").alias("text")).orderBy("lang", "n").toPandas()
     if not len(rows):
         return None
     classes = sorted(set(rows["lang"]))

@@ -74,6 +74,23 @@ def test_training_takes_no_held_out_rows(docs):
     assert np.mean([r.lang_pred == sorted(SOUNDS)[r.doc_id % 3] for r in found]) > 0.95
 
 
+def test_training_learns_from_copied_texts_once(docs, monkeypatch):
+    # the copies of any one text alone would fill the sample, or all be left out by the first cut
+    monkeypatch.setattr(language_id, "SAMPLE_TEXTS", 20)
+    learned = []
+    monkeypatch.setattr(language_id.ByteNetwork, "fit",
+                        lambda self, x, y: learned.append((self.classes, x, y)) or self)
+    rows = [(i, spoken(lang, i % n), lang) for lang, n in (("de", 10), ("en", 1), ("fr", 90))
+            for i in range(1500)]
+    language_id.train(docs(*rows), F.lit(True))
+    (classes, x, y), = learned
+    assert classes == ["de", "en", "fr"]
+    for at, (lang, n) in enumerate((("de", 10), ("en", 1), ("fr", 90))):
+        starts = {language_id.windows(spoken(lang, i).encode())[0].tobytes() for i in range(n)}
+        found = [w.tobytes() for w in x[y == at] if w.tobytes() in starts]
+        assert len(found) == len(set(found)) == min(n, 20)
+
+
 def test_nothing_to_learn_from(docs, edge_docs):
     assert language_id.train(docs(), F.lit(True)) is None
     assert language_id.train(docs((1, "text")), F.lit(True)) is None
