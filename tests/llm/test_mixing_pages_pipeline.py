@@ -138,6 +138,29 @@ def test_slots_of_a_template_without_articles(spark):
     assert got[100][0] == "Site name\n\nBody 100 first\n\nand 100 more\n\nFixed end"
 
 
+def test_copies_of_a_page_make_no_template(spark):
+    def plain(i, extra="", ad=0):
+        return (f"<html><body><div>Site name</div><div><p>Body {i} first</p><p>and {i} more</p>"
+                f"{extra}</div><div>Fixed end</div><div class='ad'>x{ad}</div></body></html>")
+
+    whole = "Site name\n\nBody 1 first\n\nand 1 more\n\nFixed end"
+    slots = "Body {0} first\n\nand {0} more"
+    # two mirrored pages; mirrored pages with other ads around them
+    rows = [(i, f"http://two.example/{i}", plain(1)) for i in range(2)]
+    rows += [(10 + i, f"http://ads.example/{i}", plain(1, ad=i)) for i in range(3)]
+    # every row twice
+    rows += [(20 + i, f"http://rows.example/{i}", plain(i)) for i in range(5)] * 2
+    # half of a host are copies of a page with an element of its own
+    own = "<section><p>Own part</p></section>"
+    rows += [(30 + i, f"http://half.example/{i}", plain(i)) for i in range(6)]
+    rows += [(40 + i, f"http://half.example/c{i}", plain(40, own)) for i in range(6)]
+    got = extracted(spark, rows)
+    assert all(got[i][0] == whole for i in (0, 1, 10, 11, 12))
+    assert all(got[20 + i][0] == slots.format(i) for i in range(5))
+    assert all(got[30 + i][0] == slots.format(i) for i in range(6))
+    assert all(got[40 + i][0] == slots.format(40) + "\n\nOwn part" for i in range(6))
+
+
 def test_broken_pages(spark):
     rows = [(1, None, None), (2, None, ""), (3, "no url", "plain <b>text</b> &am"),
             (4, "http://h/", "<article><p>cut of"), (5, "http://h/", "<article><p>cut <a href='x"),
