@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairstream.llm import (fingerprints, jaccard_join, language_id, line_quality, mixing, packing,
-                            page_templates, secrets, token_counts)
+                            page_templates, periodic_runs, secrets, token_alignment,
+                            token_counts)
 from fairstream.llm.common import held_out, table
 from fairstream.llm.metric_tree import top_inner_products
 
 #: Files of the vocabulary that packing, secret scans and token counts use.
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
+#: The other tokenizer of the alignment.
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,6 +71,45 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), pieces)
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.aligned(
+        table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER),
+        public_tokenizers.path(PIECES), digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` where, with h the crc32 of the decimal doc_id, n words and h % 10 = 0, the
+    words from a = g % n on repeat the first 1 + (n - a) div (3 + g % 8) of them; g is h div 10."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", docs["text"].cast("string").alias("text"), h.alias("h")).select(
+        "doc_id", "text", F.expr("h div 10").alias("g"),
+        F.when(F.col("h") % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words").cast("long"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get(
+        "words", F.when(i < F.col("a"), i).otherwise(
+            F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " "))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_periods(table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language_id": op2_language_id,
@@ -79,6 +121,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_quality": op8_line_quality,
     "op9_metric_tree": op9_metric_tree,
     "op10_token_counts": op10_token_counts,
+    "op11_token_alignment": op11_token_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
