@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fairstream.llm.common import stored, texts
 from fairstream.llm.components import components
-from fairstream.llm.shingles import Shingler, grouped, mix
+from fairstream.llm.shingles import SHINGLE_WORDS, Shingler, grouped, mix
 
 #: Sets link when PER_CENT is reached: 100 * intersection >= 75 * union.
 PER_CENT = 75
@@ -36,7 +36,7 @@ def prefix_length(n: int) -> int:
     return n - (PER_CENT * n + 99) // 100 + 1
 
 
-def _node(tokens: np.ndarray) -> int:
+def node_number(tokens: np.ndarray) -> int:
     """The number of a set, the same for equal sets."""
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little",
                           signed=True)
@@ -75,7 +75,7 @@ def describe(rows: DataFrame) -> DataFrame:
             sizes, nodes = [], []
             for _, tokens in _sets(batch, shingler):
                 sizes.append(len(tokens))
-                nodes.append(_node(tokens) if len(tokens) else None)
+                nodes.append(node_number(tokens) if len(tokens) else None)
                 waiting.append(tokens)
                 held += len(tokens)
                 if held >= COUNTERS:
@@ -174,7 +174,7 @@ def shared_postings(rows: DataFrame, sketch: np.ndarray, ranges: int) -> DataFra
             for _, some in _sets(batch, shingler):
                 if not len(some):
                     continue
-                node = _node(some)
+                node = node_number(some)
                 if node in seen:
                     continue
                 seen.add(node)
@@ -264,7 +264,7 @@ def _places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
             .astype(np.int64) for seed in (11, 12, 13)]
 
 
-def needed_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
+def needed_sets(rows: DataFrame, keys: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """``node, tokens`` of the documents with the given keys, tokens as bytes of sorted numbers.
 
     The filter of the keys may let a few others pass, which meet no pair later.
@@ -272,7 +272,7 @@ def needed_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(_filter_bits(keys))
 
     def run(batches):
-        shingler, filter_ = Shingler(), shared.value
+        shingler, filter_ = Shingler(words), shared.value
         bits = 8 * len(filter_)
         for batch in batches:
             own = batch.column("key").fill_null(NO_KEY).to_numpy(zero_copy_only=False)
@@ -283,7 +283,7 @@ def needed_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
             for _, tokens in _sets(batch.filter(pa.array(wanted)), shingler):
                 if not len(tokens):
                     continue
-                found.append(_node(tokens))
+                found.append(node_number(tokens))
                 data.append(tokens.tobytes())
                 held += len(tokens)
                 if held >= GATHERED:

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairstream.llm import (fingerprints, jaccard_join, language_id, line_quality, mixing, packing,
-                            page_templates, periodic_runs, secrets, token_alignment,
+from fairstream.llm import (fingerprints, jaccard_join, language_id, line_quality, minhash_join, mixing,
+                            packing, page_templates, periodic_runs, secrets, token_alignment,
                             token_counts)
 from fairstream.llm.common import held_out, table
 from fairstream.llm.metric_tree import top_inner_products
@@ -77,6 +77,10 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
         public_tokenizers.path(PIECES), digest=True).withColumnRenamed("groups", "groups_sha256")
 
 
+def op12_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, folder, "documents"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` where, with h the crc32 of the decimal doc_id, n words and h % 10 = 0, the
     words from a = g % n on repeat the first 1 + (n - a) div (3 + g % 8) of them; g is h div 10."""
@@ -122,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_metric_tree": op9_metric_tree,
     "op10_token_counts": op10_token_counts,
     "op11_token_alignment": op11_token_alignment,
+    "op12_minhash_join": op12_minhash_join,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -159,6 +164,40 @@ ORACLE: dict[str, str] = {
         SELECT l.doc_id, CAST(len(l.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
         FROM listed l JOIN reached r USING (doc_id)
         GROUP BY l.doc_id, l.s""",
+    "op12_minhash_join": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                       lambda w: w <> '') AS words
+            FROM documents
+        ), listed AS (
+            SELECT doc_id, CASE
+                WHEN len(words) = 0 THEN []
+                WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 1),
+                         lambda i: array_to_string(words[i:i + 2], ' '))) END AS s
+            FROM docs
+        ), shingles AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM listed
+        ), pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM shingles a JOIN shingles b USING (shingle)
+            WHERE a.doc_id < b.doc_id
+              AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), both_ways AS (
+            SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM docs
+            UNION
+            SELECT r.doc_id, e.y FROM reached r JOIN both_ways e ON r.other = e.x
+        )
+        SELECT l.doc_id, CAST(len(l.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id,
+               l.doc_id = min(r.other) AS kept
+        FROM listed l JOIN reached r USING (doc_id)
+        GROUP BY l.doc_id, l.s""",
     "op9_metric_tree": """
         WITH valid AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE))

@@ -31,10 +31,11 @@ class Shingler:
     """Distinct shingles of texts: A-Z lower-cased, words between ASCII white space.
 
     Words are hashed as differences of one running sum over the joined bytes. A text of fewer than
-    five words has its whole sequence as one shingle, a text without words none.
+    ``k`` words has its whole sequence as one shingle, a text without words none.
     """
 
-    def __init__(self):
+    def __init__(self, k: int = SHINGLE_WORDS):
+        self.k = k
         self._up = self._down = np.zeros(0, np.uint64)
 
     def sets(self, data: list[bytes]) -> list[np.ndarray]:
@@ -55,7 +56,7 @@ class Shingler:
                     + (ends - starts).astype(np.uint64))
         text_ends = np.cumsum([len(t) + 1 for t in data])
         firsts = np.searchsorted(starts, np.concatenate(([0], text_ends)))
-        k = SHINGLE_WORDS
+        k = self.k
         long = max(0, len(words) - k + 1)
         shingles = np.zeros(long, np.uint64)
         for j in range(k):
