@@ -62,13 +62,19 @@ def fits_expressions(centers: np.ndarray) -> bool:
 
 
 def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of and squared distance to the nearest center; the lowest index wins a tie.
+    """Index of and squared distance to the nearest center; the lowest index wins a tie."""
+    return nearest_two(x, centers)[:2]
+
+
+def nearest_two(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`nearest`, and a lower bound of the distance to every other center.
 
     The matrix-product form of the distance picks the candidate. Where a second center comes
     within its rounding error, the row is decided on exact differences.
     """
     k, dim = centers.shape
     cid = np.empty(len(x), dtype=np.int32)
+    others = np.empty(len(x))
     origin = centers.mean(axis=0)  # near the data, so that little is lost to rounding
     shifted = centers - origin
     norms = (shifted * shifted).sum(axis=1)
@@ -83,13 +89,17 @@ def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         best = score.argmin(axis=1)
         lowest = score[rows, best]
         score[rows, best] = np.inf
-        margin = slack * (np.einsum("ij,ij->i", block, block) + norms.max())
-        close = np.flatnonzero(~(score.min(axis=1) - lowest > margin)) if k > 1 else rows[:0]
+        length = np.einsum("ij,ij->i", block, block)
+        margin = slack * (length + norms.max())
+        second = score.min(axis=1)
+        close = np.flatnonzero(~(second - lowest > margin)) if k > 1 else rows[:0]
         if len(close):
             best[close] = _exact_nearest(x[start + close], centers)
+            second[close] = lowest[close]
         cid[start:start + step] = best
+        others[start:start + step] = np.sqrt(np.maximum(second + length - margin, 0.0))
     gap = x - centers[cid]
-    return cid, np.einsum("ij,ij->i", gap, gap)
+    return cid, np.einsum("ij,ij->i", gap, gap), others
 
 
 def _exact_nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ def batch_matrix(coords: pa.Array, dim: int) -> np.ndarray:
     return flat.reshape(len(coords), dim)
 
 
-def _bytes_of(column: pa.Array, dtype) -> np.ndarray:
+def bytes_of(column: pa.Array, dtype) -> np.ndarray:
     """All values of a binary column as one array, without copying."""
     first, last = column.offset, column.offset + len(column)
     _, offsets, data = column.buffers()
@@ -47,8 +47,8 @@ def _read_rows(batches: Iterable[pa.RecordBatch], dim: int) -> PointBatches:
 def _read_packed(batches: Iterable[pa.RecordBatch], dim: int) -> PointBatches:
     for batch in batches:
         if batch.num_rows:
-            yield (_bytes_of(batch.column(0), np.float64).reshape(-1, dim),
-                   _bytes_of(batch.column(1), np.bool_))
+            yield (bytes_of(batch.column(0), np.float64).reshape(-1, dim),
+                   bytes_of(batch.column(1), np.bool_))
 
 
 def is_packed(points: DataFrame) -> bool:

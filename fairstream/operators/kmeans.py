@@ -14,23 +14,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairstream.operators.assign import as_centers
-from fairstream.operators.blocks import pack_points
 from fairstream.operators.moments import Moments, collect_moments, group_cluster_moments
+from fairstream.operators.rounds import Loop
 
 SEARCH_ROUNDS = 10
 
 
 @contextmanager
-def packed(points: DataFrame, dim: int, storage: StorageLevel | None) -> Iterator[DataFrame]:
+def looped(points: DataFrame, dim: int, storage: StorageLevel | None) -> Iterator[Loop]:
     """The points for a loop: packed and persisted, or as they are when ``storage`` is None."""
-    if storage is None:
-        yield points
-        return
-    blocks = pack_points(points, dim).persist(storage)
+    loop = Loop(points, dim, storage)
     try:
-        yield blocks
+        yield loop
     finally:
-        blocks.unpersist()
+        loop.close()
 
 
 def kmeans_centers(points: DataFrame, k: int, max_iter: int, seed: int = 1, init_centers=None,
@@ -42,10 +39,14 @@ def kmeans_centers(points: DataFrame, k: int, max_iter: int, seed: int = 1, init
     ``init_centers``, and stops after ``max_iter`` rounds or once no center moves more than
     ``tol``. Fewer than ``k`` distinct points give fewer centers.
 
-    Every round is one job over the points that returns at most 2K rows. Meanwhile the points are
-    kept packed at the ``storage`` level, by default a whole copy in the executors' memory and on
-    their disks; with ``None`` every round reads the source instead, which is the way for data
-    beyond those disks.
+    Every round is one job over the points that returns a few numbers for each center. Most points
+    are seen to keep their center by the triangle inequality, without distances to the others.
+    Sums are exact, so from given ``init_centers`` the result is the same bit by bit under any
+    partitioning, and a ``tol`` of 0 ends in the round that changes nothing.
+
+    Meanwhile the points are kept packed at the ``storage`` level, by default a whole copy in the
+    executors' memory and on their disks; with ``None`` every round reads the source instead and
+    works out all distances, which is the way for data beyond those disks.
     """
     if init_centers is None:
         centers = kmeans_init(points, k, seed)
@@ -53,9 +54,9 @@ def kmeans_centers(points: DataFrame, k: int, max_iter: int, seed: int = 1, init
         centers = as_centers(init_centers)
         if len(centers) != k:
             raise ValueError(f"{len(centers)} starting centers for k = {k}")
-    with packed(points, centers.shape[1], storage) as blocks:
+    with looped(points, centers.shape[1], storage) as loop:
         for _ in range(max_iter):
-            moved = _pooled_means(collect_moments(blocks, centers), centers)
+            moved = _pooled_means(loop.moments(centers), centers)
             shift = ((moved - centers) ** 2).sum(axis=1).max()
             centers = moved
             if shift <= tol * tol:
@@ -186,7 +187,7 @@ def fair_kmeans(points: DataFrame, k: int | None = None, max_iter: int = 10, ini
     centers = kmeans_init(points, k, seed) if init_centers is None else as_centers(init_centers)
     if init_centers is not None and k not in (None, len(centers)):
         raise ValueError(f"{len(centers)} starting centers for k = {k}")
-    with packed(points, centers.shape[1], storage) as blocks:
+    with looped(points, centers.shape[1], storage) as loop:
         for _ in range(max_iter):
-            centers = next_centers(collect_moments(blocks, centers), centers)
+            centers = next_centers(loop.moments(centers), centers)
     return centers

@@ -366,7 +366,7 @@ def _segment_moments_sql(k: int) -> str:
 {_literal('c0', segment_centers(k))},
 {_near(2, 'c0', 'near')},
 {_moments(2, 'near', 'm')}
-SELECT cid, grp, n, round(ssd, 3) AS ssd, round(mu0, 2) AS mu0, round(mu1, 2) AS mu1 FROM m"""
+SELECT cid, grp, n, round(ssd, 3) AS ssd, round(mu0, 6) AS mu0, round(mu1, 6) AS mu1 FROM m"""
 
 
 def _chain(step, rounds: int) -> str:

@@ -5,9 +5,11 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from hypothesis.extra.numpy import arrays
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from fairstream.operators import assign as assign_module
+from fairstream.operators import kmeans, rounds
 from fairstream.operators.assign import (
     MAX_EXPRESSION_TERMS, as_centers, assign, centers_frame, nearest,
 )
@@ -372,3 +374,76 @@ def test_published_sample(spark):
     assert np.isclose(fair_objective(df, fair).first()[0], 0.002275743, atol=1e-9)
     one_part = df.coalesce(1)
     assert np.allclose(kmeans_centers(one_part, 4, 20, seed=1), runs[0][0], atol=1e-6)
+
+
+def site_points(spark, n, sites, partitions):
+    """Points around sites, every eleventh of group B and a little aside."""
+    pid = F.col("id")
+    around = [F.pmod(F.xxhash64(pid % sites, F.lit(d)), F.lit(1000)) / 10.0
+              + F.pmod(F.xxhash64(pid, F.lit(100 + d)), F.lit(4001)) / 1000.0 for d in range(5)]
+    return spark.range(0, n, 1, partitions).select(
+        F.array(*[a + F.when(pid % 11 == 0, 3.0).otherwise(0.0) for a in around]).alias("coords"),
+        F.when(pid % 11 == 0, "B").otherwise("A").alias("grp"))
+
+
+def plain_lloyd(x, centers, rounds):
+    centers = centers.copy()
+    for _ in range(rounds):
+        cid = ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
+        for c in np.unique(cid):
+            centers[c] = x[cid == c].mean(axis=0)
+    return centers
+
+
+def test_rounds_skip_most_distances(spark):
+    points = site_points(spark, 20_000, 100, 4).persist()
+    x = np.array([r[0] for r in points.select("coords").collect()])
+    centers = kmeans_init(points, 100)
+    plain = plain_lloyd(x, centers, 8)
+    loop = rounds.Loop(points, 5, StorageLevel.MEMORY_AND_DISK)
+    for _ in range(8):
+        moments = loop.moments(centers)
+        assert moments.n.sum() == loop.n == 20_000
+        centers = kmeans._pooled_means(moments, centers)
+    loop.close()
+    points.unpersist()
+    np.testing.assert_allclose(centers, plain, rtol=0, atol=1e-9)
+    assert loop.looked[0] == 20_000
+    assert max(loop.looked[2:]) < 0.3 * 20_000
+
+
+def test_centers_do_not_depend_on_the_partitioning(spark):
+    x = site_points(spark, 3000, 12, 1)
+    start = [r[0] for r in x.limit(12).collect()]
+    few = [kmeans_centers(site_points(spark, 3000, 12, p).orderBy(F.xxhash64("coords", F.lit(p))),
+                          12, 100, init_centers=start, tol=0.0, storage=s)
+           for p, s in ((1, StorageLevel.MEMORY_AND_DISK), (7, StorageLevel.DISK_ONLY), (3, None))]
+    for other in few[1:]:
+        assert (few[0] == other).all()
+    once = kmeans_centers(x, 12, 1, init_centers=few[0], tol=0.0)
+    assert (once == few[0]).all()  # a fixed point, bit by bit
+    fair = [fair_kmeans(site_points(spark, 3000, 12, p), max_iter=5, init_centers=start)
+            for p in (1, 6)]
+    assert (fair[0] == fair[1]).all()
+
+
+def test_exact_sums_of_any_size():
+    rng = np.random.default_rng(3)
+    for scale in (1e-300, 1e-9, 1.0, 1e12, 1e300):
+        values = rng.normal(size=5000) * scale
+        exponent = rounds.grid(np.abs(values).max())
+        sums = rounds.ExactSums(3, [exponent])
+        key = rng.integers(0, 3, 5000)
+        for part in np.array_split(np.arange(5000), 7):
+            sums.add(key[part], 0, values[part])
+        batch = sums.batch().to_pydict()
+        whole = np.rint(np.ldexp(values, exponent)).astype(np.int64)
+        assert [(h << 40) + low for h, low in zip(batch["high"], batch["low"])] \
+            == [sum(whole[key == k].tolist()) for k in batch["key"]]
+
+
+def test_loop_on_no_points_and_zeros(spark, points):
+    empty = points("0,0,A").where("grp = 'none'")
+    assert len(rounds.Loop(empty, 2, StorageLevel.MEMORY_ONLY).moments(np.zeros((2, 2))).n) == 0
+    zeros = rounds.Loop(points("0,0,A", "0,0,B"), 2, None).moments(np.zeros((1, 2)))
+    assert zeros.n.tolist() == [1, 1] and (zeros.mu == 0).all()
