@@ -61,26 +61,29 @@ def _sets(values: list[str], shingler: Shingler) -> Iterator[np.ndarray]:
 
 
 def describe(rows: DataFrame) -> DataFrame:
-    """From ``key, text``: per row ``key, n, node, sig``. The node is a number of 64 bits that
-    equal sets have in common."""
+    """From ``key, text``: per row ``key, n, node, sig, bytes``. The node is a number of 64 bits
+    that equal sets have in common; ``bytes`` has one byte of each coordinate of the signature."""
 
     def run(batches):
         shingler = Shingler(SHINGLE_WORDS)
         for batch in batches:
-            sizes, nodes, signatures = [], [], []
+            sizes, nodes, signatures, short = [], [], [], []
             for tokens in _sets(texts(batch), shingler):
                 sizes.append(len(tokens))
                 if len(tokens):
                     nodes.append(node_number(tokens))
-                    signatures.append(signature(tokens).astype("<u4").tobytes())
+                    values = signature(tokens)
+                    signatures.append(values.astype("<u4").tobytes())
+                    short.append(values.astype(np.uint8).tobytes())
                 else:
-                    nodes.append(None)
-                    signatures.append(None)
+                    for column in (nodes, signatures, short):
+                        column.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(signatures, pa.binary())], ["key", "n", "node", "sig"])
+                 pa.array(signatures, pa.binary()), pa.array(short, pa.binary())],
+                ["key", "n", "node", "sig", "bytes"])
 
-    return rows.mapInArrow(run, "key long, n long, node long, sig binary")
+    return rows.mapInArrow(run, "key long, n long, node long, sig binary, bytes binary")
 
 
 def count_pairs(nodes: DataFrame) -> np.ndarray:
@@ -147,16 +150,17 @@ def common_coordinates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def matching(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of nodes with MATCHES common coordinates and fitting sizes."""
+    """The pairs ``a, b`` of nodes with MATCHES common coordinates, as far as one byte of each
+    tells, and fitting sizes."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (crowds.matrix(batch.column(c)) for c in ("x", "y"))
+                x, y = (crowds.matrix(batch.column(c), np.uint8) for c in ("x", "y"))
                 yield batch.select(["a", "b"]).filter(
                     pa.array(common_coordinates(x, y) >= MATCHES))
 
-    ends = [nodes.select(F.col("node").alias(e), F.col("sig").alias(s), F.col("n").alias(n))
+    ends = [nodes.select(F.col("node").alias(e), F.col("bytes").alias(s), F.col("n").alias(n))
             for e, s, n in (("a", "x", "n_a"), ("b", "y", "n_b"))]
     fits = 100 * F.least("n_a", "n_b") >= PER_CENT * F.greatest("n_a", "n_b")
     return pairs.join(ends[0], "a").join(ends[1], "b").where(fits) \
@@ -186,9 +190,50 @@ def _candidates(here, there, same: bool):
         yield k, left[enough], equal[enough]
 
 
-def _block(cell):
+def _block(cell, column: str = "sig", kind="<u4"):
     return (*(crowds.numbers(cell, c) for c in ("node", "comp", "n")),
-            crowds.matrix(crowds.read_block(cell, "sig")))
+            crowds.matrix(crowds.read_block(cell, column), kind))
+
+
+def _with_candidates(here, there, same: bool) -> np.ndarray:
+    """The nodes of two blocks that have a candidate in the other block.
+
+    A member that is known to have one is compared only with those not known yet.
+    """
+    (node, comp, n, sig), others = here, there
+    known = np.zeros(len(node), bool)
+    known_there = known if same else np.zeros(len(others[0]), bool)
+    for k in range(len(node)):
+        fits = (others[1] != comp[k]) & (100 * np.minimum(others[2], n[k])
+                                         >= PER_CENT * np.maximum(others[2], n[k]))
+        if known[k]:
+            fits &= ~known_there
+        left = np.flatnonzero(fits)
+        if len(left):
+            left = left[(others[3][left] == sig[k]).sum(axis=1) >= MATCHES]
+            known_there[left] = True
+            known[k] |= len(left) > 0
+    return np.unique(np.concatenate((node[known], others[0][known_there])))
+
+
+def near_in_lists(members: DataFrame) -> DataFrame:
+    """``list, node`` of the nodes that may have a candidate in a list, as far as one byte of each
+    coordinate tells. Where they do not, whole signatures need not be looked at."""
+
+    def run(batches):
+        for batch in batches:
+            lists, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for number, x, y, same in zip(batch.column("list").to_pylist(), batch.column("here"),
+                                          batch.column("there"), batch.column("same").to_pylist()):
+                here, there = _block(x, "bytes", np.uint8), _block(y, "bytes", np.uint8)
+                found = _with_candidates(here, there, same)
+                nodes.append(found)
+                lists.append(np.full(len(found), number))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x)) for x in (lists, nodes)], ["list", "node"])
+
+    return crowds.block_pairs(members, ["node", "comp", "n", "bytes"]) \
+        .mapInArrow(run, "list long, node long").distinct()
 
 
 def met_in_lists(members: DataFrame, sketch: np.ndarray) -> DataFrame:
@@ -321,7 +366,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     described = stored(describe(rows), "described")
     # one document of each node stands for it
     nodes = stored(described.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("key").alias("key"), F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
+        F.min("key").alias("key"), F.first("n").alias("n"), F.first("sig").alias("sig"),
+        F.first("bytes").alias("bytes")), "nodes")
     sketch = count_pairs(nodes)
     posted = postings(nodes, sketch).withColumn("comp", F.col("node"))
     edges, labels = None, None
@@ -339,7 +385,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = stored(confirmed(pairs, nodes, rows), "links")
         edges = found if edges is None else edges.union(found)
         labels = components(edges)
-    members = lists.join(nodes.select("node", "n", "sig"), "node")
+    near = near_in_lists(lists.join(nodes.select("node", "n", "bytes"), "node"))
+    members = stored(stored(near, "near").join(lists, ["list", "node"])
+                     .join(nodes.select("node", "n", "sig"), "node"), "members")
     met = stored(met_in_lists(members, sketch), "met")
     members = met.join(members, ["list", "node"]) \
         .join(sets_of(met.select("node").distinct(), nodes, rows), "node")
