@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from itertools import chain
 
 import numpy as np
@@ -15,9 +16,11 @@ from fairstream.llm.common import stored, texts
 
 #: Links that a task gathers into one chunk, whose distinct pairs look up their counts together. A
 #: longer document is a chunk of its own.
-CHUNK_LINKS = 1 << 22
+CHUNK_LINKS = 1 << 20
 #: Characters that are encoded and aligned at once.
-AT_ONCE = 1 << 19
+AT_ONCE = 1 << 18
+#: Units and their tokens that a task remembers before it begins anew.
+MOST_UNITS, MOST_TOKENS = 1 << 18, 1 << 21
 _PER_DOC = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -61,8 +64,69 @@ def byte_ends(begins: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.n
     return np.where(cut, ends, known + total)
 
 
+class Units:
+    """Tokens of distinct units, stretches of text whose tokens do not depend on their neighbours.
+
+    New units are encoded together, one behind the other as one text, unless ``joins`` says that a
+    unit's own ends would not hold there. Ids, byte ends and sizes are kept in flat arrays, from
+    which the tokens of any run of units are put together.
+    """
+
+    def __init__(self, encode, joins, table: list[bytes]):
+        self._encode, self._joins, self._table = encode, joins, np.array(table, object)
+        self.length = np.array([len(x) for x in table], np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ids, self.ends, self.n, self.size, self.back = (np.zeros(0, np.int64)
+                                                             for _ in range(5))
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        if len(self.n) > MOST_UNITS or len(self.ids) > MOST_TOKENS:
+            self.forget()
+        new = [u for u in dict.fromkeys(units) if u not in self.places]
+        if new:
+            together = [u for u in new if self._joins(u)]
+            if not (together and self._add(together)):
+                together = []
+            for unit in set(new).difference(together):
+                self._add([unit], alone=True)
+        return np.fromiter(map(self.places.__getitem__, units), np.int64, len(units))
+
+    def _add(self, units: list[str], alone: bool = False) -> bool:
+        text = "".join(units)
+        data = text.encode()
+        ids, begins, ends = self._encode(text, data)
+        ends = byte_ends(begins, ends, self.length[ids])
+        back = b"".join(self._table[ids].tolist()) == data
+        size = np.array([len(u.encode()) for u in units], np.int64)
+        stop = np.cumsum(size)
+        upto = np.searchsorted(ends, stop, "right") if back else np.array([len(ids)])
+        n = np.diff(upto, prepend=0)
+        if not alone and not (back and n.all() and (ends[upto - 1] == stop).all()):
+            return False
+        self.places.update(zip(units, range(len(self.n), len(self.n) + len(units))))
+        for name, more in (("ids", ids), ("ends", ends - np.repeat(stop - size, n)), ("n", n),
+                           ("size", size), ("back", np.full(len(units), back, np.int64))):
+            setattr(self, name, np.concatenate((getattr(self, name), more)))
+        return True
+
+    def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, byte ends and the numbers of tokens of units, one behind the other."""
+        n, size = self.n[numbers], self.size[numbers]
+        place = np.arange(n.sum()) + np.repeat(
+            (np.cumsum(self.n) - self.n)[numbers] - (np.cumsum(n) - n), n)
+        return self.ids[place], self.ends[place] + np.repeat(np.cumsum(size) - size, n), n
+
+
 class Aligner:
-    """Encodes texts with both tokenizers and aligns the tokens of a run of texts."""
+    """Encodes texts with both tokenizers and aligns the tokens of a run of texts.
+
+    Neither tokenizer joins bytes over certain spaces, so what stands between these is a unit. A
+    begins a new pre-token at each space before a printable ASCII character. B has no piece with a
+    space behind another character (where a vocabulary has one, texts are units as a whole).
+    """
 
     def __init__(self, tokenizer_path: str, model_path: str):
         import sentencepiece
@@ -72,61 +136,71 @@ class Aligner:
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=model_path)
         self.bytes_a, self.bytes_b = byte_level_table(self.a), piece_table(self.b)
-        self.len_a, self.len_b = (np.array([len(x) for x in t]) for t in
-                                  (self.bytes_a, self.bytes_b))
-        self.parts_a, self.parts_b = (np.array(t, object) for t in (self.bytes_a, self.bytes_b))
+        self.space = self.b.piece_to_id("▁")
+        apart = not any(b" " in x.lstrip(b" ") for x in self.bytes_b)
+        self.split_a = re.compile(r" [^ ]*(?: (?![!-~])[^ ]*)*").findall
+        self.split_b = re.compile(r" +[^ ]*").findall if apart else lambda text: [text]
+        begins_plainly = re.compile(r" [!-~]").match
+        self.units_a = Units(self._encode_a, begins_plainly, self.bytes_a)
+        self.units_b = Units(self._encode_b, lambda u: apart and u[-1] != " " and "▁" not in u,
+                             self.bytes_b)
         self.names = {}
         for key, table, ends in (("a", self.bytes_a, ",|"), ("b", self.bytes_b, ",;")):
             self.names[key] = np.array([f"{i}{end}" for end in ends for i in range(len(table))],
                                        object)
 
-    def _tokens_a(self, text: str, data: bytes):
+    def _encode_a(self, text: str, data: bytes):
+        """Ids and spans in bytes, from the encoder's offsets in characters."""
         found = self.a.encode(text, add_special_tokens=False)
-        ids = np.array(found.ids, np.int64)
-        if b"".join(self.parts_a[ids].tolist()) != data:
-            return None
-        spans = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids))
+        spans = np.fromiter(chain.from_iterable(found.offsets), np.int64)
         if len(data) != len(text):
             raw = np.frombuffer(data, np.uint8)
             spans = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(data))[spans]
-        return ids, byte_ends(spans[::2], spans[1::2], self.len_a[ids])
-
-    def _tokens_b(self, text: str, data: bytes):
-        # the byte spans of the encoder's proto; they do not count the space that it adds
-        found = self.b.encode(text, return_type="offset_mapping", return_bytes=True)
-        ids = np.array(found["ids"], np.int64)
-        if b"".join(self.parts_b[ids].tolist()) != data:
-            return None
-        spans = np.fromiter(chain.from_iterable(found["offsets"]), np.int64, 2 * len(ids)) + 1
-        return ids, byte_ends(spans[::2], spans[1::2], self.len_b[ids])
-
-    def encode(self, text: str):
-        """Ids and byte ends of both tokenizers, or None where either does not give the text back.
-        """
-        if not text:
-            return None
-        spaced = " " + text
-        data = spaced.encode()
-        a = self._tokens_a(spaced, data)
-        b = a and self._tokens_b(text, data)
-        return b and (*a, *b, len(data))
+        return np.array(found.ids, np.int64), spans[::2], spans[1::2]
+
+    def _encode_b(self, text: str, data: bytes):
+        """Ids and the byte spans of the encoder's proto; these do not count the space that it
+        adds, which is the text's first."""
+        if text == " ":
+            return np.array([self.space]), np.array([0]), np.array([1])
+        found = self.b.encode(text[1:], return_type="offset_mapping", return_bytes=True)
+        spans = np.fromiter(chain.from_iterable(found["offsets"]), np.int64) + 1
+        return np.array(found["ids"], np.int64), spans[::2], spans[1::2]
 
-    def align(self, encoded: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
-        """For encoded texts: numbers ``_PER_DOC``, link pairs, the text of each, groups.
+    def encode(self, values: list[str]):
+        """Ids, byte ends and numbers of tokens of both tokenizers, and which texts they are of.
+
+        Empty texts and those that either tokenizer does not give back byte by byte are left out.
+        """
+        used = [i for i, text in enumerate(values) if text]
+        sides = []
+        for units, split in ((self.units_a, self.split_a), (self.units_b, self.split_b)):
+            words = [split(" " + values[i]) for i in used]
+            owner = np.repeat(np.arange(len(used)), [len(w) for w in words])
+            numbers = units.numbers(list(chain.from_iterable(words)))
+            sides.append((units, numbers, owner))
+        good = np.ones(len(used), bool)
+        for units, numbers, owner in sides:
+            good[owner[units.back[numbers] == 0]] = False
+        out = []
+        for units, numbers, owner in sides:
+            ids, ends, n = units.tokens(numbers[good[owner]])
+            counts = np.bincount(owner[good[owner]], n, len(used))[good].astype(np.int64)
+            out.append((ids, ends, counts))
+        return *out, np.array(used, np.int64)[good]
+
+    def align(self, values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """For texts: numbers ``_PER_DOC``, link pairs, the text of each, groups.
 
         A pair is an id of A times 2^32 plus an id of B. Texts without tokens have zeros and an
         empty string of groups.
         """
-        numbers, groups = np.zeros((len(encoded), 4), np.int64), [""] * len(encoded)
-        used = [i for i, e in enumerate(encoded) if e]
-        if not used:
+        numbers, groups = np.zeros((len(values), 4), np.int64), [""] * len(values)
+        (a, ends_a, n_a), (b, ends_b, _), used = self.encode(values)
+        if not len(used):
             return numbers, np.zeros(0, np.int64), np.zeros(0, np.int64), groups
-        sizes = np.array([encoded[i][4] for i in used])
-        first = np.cumsum(sizes) - sizes
-        a, b = (np.concatenate([encoded[i][k] for i in used]) for k in (0, 2))
-        ends_a, ends_b = (np.concatenate([encoded[i][k] + s for i, s in zip(used, first)])
-                          for k in (1, 3))
-        marks = np.zeros(first[-1] + sizes[-1] + 1, np.uint8)
+        last = ends_a[np.cumsum(n_a) - 1]  # of each text
+        marks = np.zeros(last[-1] + 1, np.uint8)
         marks[ends_a] = 1
         marks[ends_b] |= 2
         cuts = np.flatnonzero(marks)
@@ -134,7 +208,7 @@ class Aligner:
         of_a, of_b, both = (marks & 1) > 0, marks > 1, marks == 3
         # the bytes before a cut, back to the cut before it, are in one token of each
         pairs = (a[np.cumsum(of_a) - of_a] << 32) | b[np.cumsum(of_b) - of_b]
-        doc = np.searchsorted(first, cuts - 1, "right") - 1
+        doc = np.searchsorted(last, cuts)
         group = np.cumsum(both) - both
         counts = [np.bincount(doc[some], minlength=len(used))
                   for some in (of_a, of_b, both, slice(None))]
@@ -148,11 +222,11 @@ class Aligner:
         before = np.cumsum(np.bincount(group_a, minlength=n))[group_b]
         out[np.arange(len(b)) + before] = self.names["b"][b + len(self.bytes_b) * both[of_b]]
         words, at = out.tolist(), 0
-        for i in used:
+        for i in used.tolist():
             upto = at + int(numbers[i, 0] + numbers[i, 1])
             groups[i] = "".join(words[at:upto])[:-1]
             at = upto
-        return numbers, pairs, np.array(used)[doc], groups
+        return numbers, pairs, used[doc], groups
 
 
 def _chunk(number: int, keys: list, kind, numbers, pairs, docs, groups) -> pa.RecordBatch:
@@ -191,9 +265,9 @@ def chunks_of(docs: DataFrame, tokenizer_path: str, model_path: str, digest: boo
             keys, parts, links, task = [], [], 0, task + 1
             return row
 
-        def take(run_keys, encoded):
+        def take(run_keys, values):
             nonlocal links
-            numbers, pairs, owner, groups = aligner.align(encoded)
+            numbers, pairs, owner, groups = aligner.align(values)
             if digest:
                 groups = [g and hashlib.sha256(g.encode()).hexdigest() for g in groups]
             parts.append((numbers, pairs, owner, groups))
@@ -202,18 +276,18 @@ def chunks_of(docs: DataFrame, tokenizer_path: str, model_path: str, digest: boo
 
         for batch in batches:
             kind = batch.schema.field("key").type
-            waiting, encoded, n = [], [], 0
+            waiting, values, n = [], [], 0
             for key, text in zip(batch.column("key").to_pylist(), texts(batch)):
                 waiting.append(key)
-                encoded.append(aligner.encode(text))
+                values.append(text)
                 n += len(text)
                 if n >= AT_ONCE:
-                    take(waiting, encoded)
-                    waiting, encoded, n = [], [], 0
+                    take(waiting, values)
+                    waiting, values, n = [], [], 0
                     if links >= CHUNK_LINKS:
                         yield flush()
             if waiting:
-                take(waiting, encoded)
+                take(waiting, values)
         if keys:
             yield flush()
 
@@ -243,7 +317,7 @@ def aligned(docs: DataFrame, tokenizer_path: str, model_path: str, id_col: str =
     ``count_sum`` (counts added over links). A pair's count is the number of rows that hold it
     linked, over the whole table.
 
-    Each text is encoded once. A task writes chunks of documents with their distinct pairs to the
+    A task encodes each distinct unit of its texts once. A task writes chunks of documents with their distinct pairs to the
     shared folder; counts are summed per pair, and every chunk looks up each of its pairs once, so
     a pair that all documents hold costs a row per chunk. The table of A's highest counts, which
     is broadcast, has at most a row for each id of its vocabulary.

@@ -74,21 +74,25 @@ def brute(aligner, rows):
                    for key, a, b, links, g in found), key=str)
 
 
-def test_byte_ends_follow_decoded_bytes(aligner):
+def test_tokens_are_those_of_whole_texts(aligner):
     rng = random.Random(4)
-    for _ in range(3000):
-        text = "".join(rng.choice(ODD) for _ in range(rng.randrange(1, 30)))
-        found, plain = aligner.encode(text), plain_tokens(aligner, text)
-        assert (found is None) == (plain is None)
-        if found:
-            for ids, ends, tokens in ((found[0], found[1], plain[0]), (*found[2:4], plain[1])):
-                assert ids.tolist() == [i for i, _ in tokens]
-                assert ends.tolist() == np.cumsum([len(x) for _, x in tokens]).tolist()
+    values = ["".join(rng.choice(ODD) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    values += [prose(i, 40) for i in range(20)] + ["a  b\n c", " a", "a ", "  ", "a \t b", "é  é é"]
+    plain = {i: p for i, p in enumerate(plain_tokens(aligner, v) for v in values) if p}
+    *sides, used = aligner.encode(values)
+    assert used.tolist() == list(plain)
+    for side, (ids, ends, counts) in enumerate(sides):
+        tokens = [t for p in plain.values() for t in p[side]]
+        assert ids.tolist() == [i for i, _ in tokens]
+        assert ends.tolist() == np.cumsum([len(x) for _, x in tokens]).tolist()
+        assert counts.tolist() == [len(p[side]) for p in plain.values()]
 
 
 @pytest.mark.parametrize("links", [1, 1 << 22])
 def test_equals_brute_force(docs, aligner, monkeypatch, links):
     monkeypatch.setattr(token_alignment, "CHUNK_LINKS", links)
+    monkeypatch.setattr(token_alignment, "MOST_UNITS", links)
+    monkeypatch.setattr(token_alignment, "AT_ONCE", min(links, 1 << 18))
     rng = random.Random(8)
     rows = [(i, prose(i % 17, rng.randrange(1, 60))) for i in range(40)]
     rows += [(100 + i, "".join(rng.choice(ODD) for _ in range(20))) for i in range(30)]
