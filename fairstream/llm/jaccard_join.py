@@ -22,7 +22,7 @@ COUNTERS, BLOCK = 1 << 20, 1 << 12
 ORDERS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 #: Postings that a task gathers before it passes them on, and documents that share a token within
 #: them from which on only one of them stands for all.
-GATHERED, CROWD = 1 << 21, 16
+GATHERED, CROWD = 1 << 18, 16
 #: Bits of the filter that keeps sets without candidates from being shuffled, at most.
 MOST_FILTER_BITS = 1 << 28
 #: What a posting says of its set: number, id that stands for it, component, size, place.

@@ -74,7 +74,7 @@ class Shingler:
         return out
 
 
-def grouped(values: list[str], size: int = 1 << 21):
+def grouped(values: list[str], size: int = 1 << 18):
     """Texts as bytes in runs that hold about ``size`` characters together, with their places."""
     group, first, n = [], 0, 0
     for i, v in enumerate(values):
