@@ -207,8 +207,11 @@ def _segment_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _segment_moments(spark: SparkSession, folder: str, k: int) -> DataFrame:
+    """Means of few amounts in cents often lie halfway between two roundings; a billionth more
+    decides these alike wherever they are summed up."""
     out = group_cluster_moments(_segment_points(spark, folder), segment_centers(k))
-    return _rounded(out.withColumn("ssd", F.round("ssd", 3)), "mu", "mu", 2)
+    return _rounded(out.withColumns({
+        "ssd": F.round("ssd", 3), "mu": F.transform("mu", lambda m: m + 1e-9)}), "mu", "mu", 2)
 
 
 def segment_centers(k: int) -> list[tuple[float, float]]:
@@ -366,7 +369,8 @@ def _segment_moments_sql(k: int) -> str:
 {_literal('c0', segment_centers(k))},
 {_near(2, 'c0', 'near')},
 {_moments(2, 'near', 'm')}
-SELECT cid, grp, n, round(ssd, 3) AS ssd, round(mu0, 6) AS mu0, round(mu1, 6) AS mu1 FROM m"""
+SELECT cid, grp, n, round(ssd, 3) AS ssd, round(mu0 + 1e-9, 6) AS mu0,
+    round(mu1 + 1e-9, 6) AS mu1 FROM m"""
 
 
 def _chain(step, rounds: int) -> str:
