@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
-from itertools import chain
+from collections import defaultdict
+from functools import lru_cache
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +21,9 @@ from fairstream.llm.common import stored, texts
 #: longer document is a chunk of its own.
 CHUNK_LINKS = 1 << 20
 #: Characters that are encoded and aligned at once.
-AT_ONCE = 1 << 18
-#: Units and their tokens that a task remembers before it begins anew.
-MOST_UNITS, MOST_TOKENS = 1 << 18, 1 << 21
+AT_ONCE = 1 << 17
+#: Units and their tokens that a Python worker remembers before it begins anew.
+MOST_UNITS, MOST_TOKENS = 3 << 18, 3 << 21
 _PER_DOC = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -46,6 +49,14 @@ def piece_table(processor) -> list[bytes]:
             for i in range(processor.get_piece_size())]
 
 
+def byte_places(places: np.ndarray, text: str, data: bytes) -> np.ndarray:
+    """Places in a text, in characters, as places in its bytes."""
+    if len(data) == len(text):
+        return places
+    raw = np.frombuffer(data, np.uint8)
+    return np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(data))[places]
+
+
 def byte_ends(begins: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Where each token ends, from coarse spans and the lengths of the decoded tokens, in bytes.
 
@@ -64,12 +75,37 @@ def byte_ends(begins: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.n
     return np.where(cut, ends, known + total)
 
 
+class Rows:
+    """A column of 32-bit integers that grows at its end."""
+
+    def __init__(self):
+        self._room, self._n = np.empty(1 << 12, np.int32), 0
+
+    def extend(self, more: np.ndarray) -> None:
+        upto = self._n + len(more)
+        if upto > len(self._room):
+            room = np.empty(max(upto, 2 * len(self._room)), np.int32)
+            room[:self._n] = self.values
+            self._room = room
+        self._room[self._n:upto] = more
+        self._n = upto
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._room[:self._n]
+
+    def __len__(self) -> int:
+        return self._n
+
+
 class Units:
     """Tokens of distinct units, stretches of text whose tokens do not depend on their neighbours.
 
     New units are encoded together, one behind the other as one text, unless ``joins`` says that a
-    unit's own ends would not hold there. Ids, byte ends and sizes are kept in flat arrays, from
-    which the tokens of any run of units are put together.
+    unit's own ends would not hold there. Ids and byte ends are kept one behind the other, and of
+    each unit where its tokens start, how many there are, its bytes and whether they came back; from
+    these the tokens of any run of units are put together. ``row`` says where a unit's row is, by a
+    number that both tokenizers use, or -1.
     """
 
     def __init__(self, encode, joins, table: list[bytes]):
@@ -78,46 +114,54 @@ class Units:
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.ids, self.ends, self.n, self.size, self.back = (np.zeros(0, np.int64)
-                                                             for _ in range(5))
-
-    def numbers(self, units: list[str]) -> np.ndarray:
-        if len(self.n) > MOST_UNITS or len(self.ids) > MOST_TOKENS:
-            self.forget()
-        new = [u for u in dict.fromkeys(units) if u not in self.places]
-        if new:
-            together = [u for u in new if self._joins(u)]
-            if not (together and self._add(together)):
-                together = []
-            for unit in set(new).difference(together):
-                self._add([unit], alone=True)
-        return np.fromiter(map(self.places.__getitem__, units), np.int64, len(units))
-
-    def _add(self, units: list[str], alone: bool = False) -> bool:
+        self.row = Rows()
+        self.ids, self.ends, self.start, self.n, self.size, self.back = (Rows() for _ in range(6))
+
+    def rows(self, numbers: np.ndarray, units: list[str], n_known: int) -> np.ndarray:
+        """The rows of units, by their numbers below ``n_known``; new units are encoded."""
+        self.row.extend(np.full(n_known - len(self.row), -1))
+        new = np.flatnonzero(self.row.values[numbers] < 0)
+        if len(new):
+            _, first = np.unique(numbers[new], return_index=True)
+            new = new[first]
+            joined = np.fromiter((bool(self._joins(units[i])) for i in new), bool, len(new))
+            if joined.any() and not self._add(numbers, units, new[joined]):
+                joined[:] = False
+            for i in new[~joined]:
+                self._add(numbers, units, np.array([i]), alone=True)
+        return self.row.values[numbers]
+
+    def _add(self, numbers: np.ndarray, among: list[str], chosen: np.ndarray,
+             alone: bool = False) -> bool:
+        units = [among[i] for i in chosen]
         text = "".join(units)
         data = text.encode()
         ids, begins, ends = self._encode(text, data)
         ends = byte_ends(begins, ends, self.length[ids])
         back = b"".join(self._table[ids].tolist()) == data
-        size = np.array([len(u.encode()) for u in units], np.int64)
-        stop = np.cumsum(size)
+        stop = byte_places(np.cumsum(np.fromiter(map(len, units), np.int64, len(units))), text, data)
+        size = np.diff(stop, prepend=0)
         upto = np.searchsorted(ends, stop, "right") if back else np.array([len(ids)])
         n = np.diff(upto, prepend=0)
         if not alone and not (back and n.all() and (ends[upto - 1] == stop).all()):
             return False
-        self.places.update(zip(units, range(len(self.n), len(self.n) + len(units))))
-        for name, more in (("ids", ids), ("ends", ends - np.repeat(stop - size, n)), ("n", n),
-                           ("size", size), ("back", np.full(len(units), back, np.int64))):
-            setattr(self, name, np.concatenate((getattr(self, name), more)))
+        self.row.values[numbers[chosen]] = len(self.n) + np.arange(len(units))
+        self.start.extend(len(self.ids) + np.cumsum(n) - n)
+        for column, more in ((self.ids, ids), (self.ends, ends - np.repeat(stop - size, n)),
+                             (self.n, n), (self.size, size),
+                             (self.back, np.full(len(units), back))):
+            column.extend(more)
         return True
 
-    def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, byte ends and the numbers of tokens of units, one behind the other."""
-        n, size = self.n[numbers], self.size[numbers]
-        place = np.arange(n.sum()) + np.repeat(
-            (np.cumsum(self.n) - self.n)[numbers] - (np.cumsum(n) - n), n)
-        return self.ids[place], self.ends[place] + np.repeat(np.cumsum(size) - size, n), n
+    def tokens(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, byte ends and the numbers of tokens of units' rows, one behind the other."""
+        n, size = self.n.values[rows], self.size.values[rows]
+        upto = np.cumsum(n, dtype=np.int64)
+        place = np.arange(upto[-1] if len(upto) else 0) + np.repeat(
+            self.start.values[rows] - (upto - n), n)
+        before = np.cumsum(size, dtype=np.int64) - size
+        return self.ids.values[place].astype(np.int64), \
+            self.ends.values[place] + np.repeat(before, n), n
 
 
 class Aligner:
@@ -125,7 +169,8 @@ class Aligner:
 
     Neither tokenizer joins bytes over certain spaces, so what stands between these is a unit. A
     begins a new pre-token at each space before a printable ASCII character. B has no piece with a
-    space behind another character (where a vocabulary has one, texts are units as a whole).
+    space behind another character (where a vocabulary has one, texts are units as a whole). Where
+    every space is a single one before such a character, the units of both are the same.
     """
 
     def __init__(self, tokenizer_path: str, model_path: str):
@@ -140,22 +185,30 @@ class Aligner:
         apart = not any(b" " in x.lstrip(b" ") for x in self.bytes_b)
         self.split_a = re.compile(r" [^ ]*(?: (?![!-~])[^ ]*)*").findall
         self.split_b = re.compile(r" +[^ ]*").findall if apart else lambda text: [text]
-        begins_plainly = re.compile(r" [!-~]").match
-        self.units_a = Units(self._encode_a, begins_plainly, self.bytes_a)
+        differs = re.compile(r" (?![!-~])").search
+        self.alike = lambda text: apart and not differs(text)
+        self.units_a = Units(self._encode_a, lambda u: "!" <= u[1:2] <= "~", self.bytes_a)
         self.units_b = Units(self._encode_b, lambda u: apart and u[-1] != " " and "▁" not in u,
                              self.bytes_b)
+        self._forget()
         self.names = {}
         for key, table, ends in (("a", self.bytes_a, ",|"), ("b", self.bytes_b, ",;")):
             self.names[key] = np.array([f"{i}{end}" for end in ends for i in range(len(table))],
                                        object)
 
+    def _forget(self) -> None:
+        self.numbers = defaultdict(count().__next__)  # of units, in the order of their first use
+        self.units_a.forget()
+        self.units_b.forget()
+
+    def _numbers(self, units: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, units), np.int64, len(units))
+
     def _encode_a(self, text: str, data: bytes):
         """Ids and spans in bytes, from the encoder's offsets in characters."""
         found = self.a.encode(text, add_special_tokens=False)
         spans = np.fromiter(chain.from_iterable(found.offsets), np.int64)
-        if len(data) != len(text):
-            raw = np.frombuffer(data, np.uint8)
-            spans = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(data))[spans]
+        spans = byte_places(spans, text, data)
         return np.array(found.ids, np.int64), spans[::2], spans[1::2]
 
     def _encode_b(self, text: str, data: bytes):
@@ -172,19 +225,33 @@ class Aligner:
 
         Empty texts and those that either tokenizer does not give back byte by byte are left out.
         """
-        used = [i for i, text in enumerate(values) if text]
+        if len(self.numbers) > MOST_UNITS \
+                or max(len(self.units_a.ids), len(self.units_b.ids)) > MOST_TOKENS:
+            self._forget()
+        used, split = [], ([], [])
+        for i, text in enumerate(values):
+            if text:
+                used.append(i)
+                text = " " + text
+                words = self.split_a(text)
+                found = words, self._numbers(words)
+                split[0].append(found)
+                if not self.alike(text):
+                    words = self.split_b(text)
+                    found = words, self._numbers(words)
+                split[1].append(found)
         sides = []
-        for units, split in ((self.units_a, self.split_a), (self.units_b, self.split_b)):
-            words = [split(" " + values[i]) for i in used]
-            owner = np.repeat(np.arange(len(used)), [len(w) for w in words])
-            numbers = units.numbers(list(chain.from_iterable(words)))
-            sides.append((units, numbers, owner))
+        for units, found in zip((self.units_a, self.units_b), split):
+            owner = np.repeat(np.arange(len(used)), [len(n) for _, n in found])
+            numbers = np.concatenate([np.zeros(0, np.int64), *(n for _, n in found)])
+            words = list(chain.from_iterable(words for words, _ in found))
+            sides.append((units, units.rows(numbers, words, len(self.numbers)), owner))
         good = np.ones(len(used), bool)
-        for units, numbers, owner in sides:
-            good[owner[units.back[numbers] == 0]] = False
+        for units, rows, owner in sides:
+            good[owner[units.back.values[rows] == 0]] = False
         out = []
-        for units, numbers, owner in sides:
-            ids, ends, n = units.tokens(numbers[good[owner]])
+        for units, rows, owner in sides:
+            ids, ends, n = units.tokens(rows[good[owner]])
             counts = np.bincount(owner[good[owner]], n, len(used))[good].astype(np.int64)
             out.append((ids, ends, counts))
         return *out, np.array(used, np.int64)[good]
@@ -229,6 +296,12 @@ class Aligner:
         return numbers, pairs, used[doc], groups
 
 
+@lru_cache(maxsize=1)
+def aligner(tokenizer_path: str, model_path: str) -> Aligner:
+    """One for all tasks of a Python worker, so that later ones know the units of those before."""
+    return Aligner(tokenizer_path, model_path)
+
+
 def _chunk(number: int, keys: list, kind, numbers, pairs, docs, groups) -> pa.RecordBatch:
     """One row for a run of documents: their numbers, the distinct pairs with the number of
     documents that hold them, and which document holds which pair how often."""
@@ -252,7 +325,7 @@ def chunks_of(docs: DataFrame, tokenizer_path: str, model_path: str, digest: boo
     """Rows of :func:`_chunk` for ``key, text``."""
 
     def run(batches):
-        aligner, task = Aligner(tokenizer_path, model_path), TaskContext.get().partitionId() << 32
+        both, task = aligner(tokenizer_path, model_path), TaskContext.get().partitionId() << 32
         keys, parts, links, kind = [], [], 0, pa.int64()
 
         def flush():
@@ -267,7 +340,11 @@ def chunks_of(docs: DataFrame, tokenizer_path: str, model_path: str, digest: boo
 
         def take(run_keys, values):
             nonlocal links
-            numbers, pairs, owner, groups = aligner.align(values)
+            gc.disable()  # it would walk all remembered units, and nothing here forms cycles
+            try:
+                numbers, pairs, owner, groups = both.align(values)
+            finally:
+                gc.enable()
             if digest:
                 groups = [g and hashlib.sha256(g.encode()).hexdigest() for g in groups]
             parts.append((numbers, pairs, owner, groups))
@@ -317,8 +394,8 @@ def aligned(docs: DataFrame, tokenizer_path: str, model_path: str, id_col: str =
     ``count_sum`` (counts added over links). A pair's count is the number of rows that hold it
     linked, over the whole table.
 
-    A task encodes each distinct unit of its texts once. A task writes chunks of documents with their distinct pairs to the
-    shared folder; counts are summed per pair, and every chunk looks up each of its pairs once, so
+    A Python worker encodes each distinct unit once, as long as it remembers it. A task writes
+    chunks of documents with their distinct pairs to the shared folder; counts are summed per pair, and every chunk looks up each of its pairs once, so
     a pair that all documents hold costs a row per chunk. The table of A's highest counts, which
     is broadcast, has at most a row for each id of its vocabulary.
 
