@@ -23,7 +23,7 @@ CHUNK_LINKS = 1 << 20
 #: Characters that are encoded and aligned at once.
 AT_ONCE = 1 << 17
 #: Units and their tokens that a Python worker remembers before it begins anew.
-MOST_UNITS, MOST_TOKENS = 3 << 18, 3 << 21
+MOST_UNITS, MOST_TOKENS = 1 << 19, 1 << 22
 _PER_DOC = ["n_a", "n_b", "n_groups", "n_links"]
 
 
