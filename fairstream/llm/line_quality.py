@@ -204,20 +204,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "quality") -> LineField | None:
     """A field learned from labelled rows that are not held out; None without both labels.
 
-    At most ``SAMPLE_TEXTS`` texts of each label and ``SAMPLE_LINES`` lines of each are used, chosen
-    by a hash. Classes are drawn alike; the scale of the
-    scores is set for the shares that the sample has.
+    At most ``SAMPLE_TEXTS`` texts of each label are used, chosen by a hash, and the first
+    ``SAMPLE_LINES`` lines of each; only learning is bounded so, scores are of whole texts. Of an
+    id's texts the least is used. Classes are drawn alike; the scale of the scores is set for the
+    shares that the sample has.
     """
     marks = labels.where(labels[label_col].isin(0, 1)) \
         .select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")) \
         .where(~held_out(F.col("id"))).dropDuplicates(["id"])
     chosen = sampled(marks, "label", SAMPLE_TEXTS, F.xxhash64(F.lit("sample"), "id"))
-    # at most 2 * SAMPLE_TEXTS rows
+    # one row for each of at most 2 * SAMPLE_TEXTS ids, however often an id is repeated
     rows = docs.select(docs[id_col].alias("id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")) \
         .join(F.broadcast(chosen.select("id", "label", "mix")), "id") \
         .withColumn("text", F.substring_index("text", "\n", SAMPLE_LINES)) \
-        .orderBy("mix", "id", F.xxhash64("text")).toPandas()
+        .groupBy("mix", "id", "label").agg(F.min("text").alias("text")) \
+        .orderBy("mix", "id").toPandas()
     if rows["label"].nunique() < 2:
         return None
     return fit([t.encode() for t in rows["text"]], rows["label"].to_numpy())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,8 +29,10 @@ _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _HEX_ONLY = re.compile(r"[0-9A-Fa-f]+")
 _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _PARTS = re.compile(r"[/_=+-]+")
-_DIGITS = re.compile(r"[0-9]")
-_LETTERS = re.compile(r"[A-Za-z]")
+#: Letters without anything between them: below this ratio, and fewer than a third vowels.
+LETTERS_RATIO = 2.1
+_LETTERS = re.compile(r"[A-Za-z]+")
+_VOWELS = re.compile(r"[AEIOUaeiou]")
 _FOUND = ["n_assign", "n_access", "n_hex", "n_opaque", "base_sha256", "spans", "redacted"]
 
 
@@ -52,25 +55,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def is_known_form(string: str) -> bool:
-    """A digest, UUID, number, or identifier made of plain words and numbers."""
+    """A digest, UUID, number, word, or identifier made of plain words and numbers.
+
+    Letters alone are a word if at least a third of them are vowels, which few random ones have.
+    """
     if _UUID.fullmatch(string):
         return True
     if _HEX_ONLY.fullmatch(string) and len(string) in _DIGEST_LENGTHS:
         return True
-    if not (_DIGITS.search(string) and _LETTERS.search(string)):
-        return True
+    if _LETTERS.fullmatch(string):
+        return 3 * len(_VOWELS.findall(string)) >= len(string)
     return all(p.isdigit() or p.isalpha() for p in _PARTS.split(string) if p)
 
 
 def opaque_spans(text: str, base: list[tuple[int, int, int]], n_tokens) -> list:
-    """Long strings of few characters per token that are no known form and in no base span."""
-    found = []
+    """Long strings of few characters per token that are no known form.
+
+    What base spans leave of a string is tested by itself, where it is long enough.
+    """
+    found, first = [], 0
     for m in _CANDIDATE.finditer(text):
-        string = m[0]
-        if is_known_form(string) or any(s < m.end() and m.start() < e for s, _, e in base):
-            continue
-        if len(string) / max(1, n_tokens(string)) < OPAQUE_RATIO:
-            found.append((m.start(), 3, m.end()))
+        while first < len(base) and base[first][2] <= m.start():
+            first += 1
+        at, parts = m.start(), []
+        for start, _, end in islice(base, first, None):
+            if start >= m.end():
+                break
+            parts.append((at, start))
+            at = max(at, end)
+        for start, end in [*parts, (at, m.end())]:
+            string = text[start:end]
+            if len(string) < OPAQUE_LENGTH or is_known_form(string):
+                continue
+            least = LETTERS_RATIO if _LETTERS.fullmatch(string) else OPAQUE_RATIO
+            if len(string) / n_tokens(string) < least:
+                found.append((start, 3, end))
     return found
 
 

@@ -184,3 +184,12 @@ def test_training_from_tables(spark, docs):
     assert line_quality.train(docs(*rows), labels.where("quality = 1")) is None
     halves = line_quality.score(docs((1, "a")), None, ["doc_id"]).collect()
     assert [(r.score, r.predicted) for r in halves] == [(0.5, 0)]
+
+
+def test_training_collects_a_repeated_id_once(spark, docs, monkeypatch):
+    kept = []
+    monkeypatch.setattr(line_quality, "fit", lambda data, labels: kept.extend(data))
+    labels = spark.createDataFrame([(1, 1, None), (3, 0, None), (4, 0, None)],
+                                   "doc_id long, quality int, toxic int")
+    line_quality.train(docs(*[(i, f"text {i} {n}") for i in (1, 3, 4) for n in range(50)]), labels)
+    assert len(kept) == len(set(kept)) and all(t.endswith(b" 0") for t in kept)

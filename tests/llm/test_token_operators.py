@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import random
 import re
 import zlib
+from string import ascii_letters, ascii_lowercase, ascii_uppercase, digits
 
 import numpy as np
 import pytest
@@ -197,6 +199,32 @@ def test_known_forms_are_no_secrets(string):
     assert secrets.is_known_form(string)
 
 
+@pytest.mark.parametrize("alphabet", [ascii_lowercase, ascii_uppercase, ascii_letters,
+                                      ascii_letters + digits])
+@pytest.mark.parametrize("length", [20, 32, 40])
+def test_random_strings_are_found(docs, vocabulary, alphabet, length):
+    rng = random.Random(length)
+    strings = ["".join(rng.choices(alphabet, k=length)) for _ in range(200)]
+    found = scanned(docs((1, " ".join(strings))), vocabulary)
+    assert found[0].n_opaque >= 180
+
+
+@pytest.mark.parametrize("text", [
+    "internationalization anticonstitutionnellement Donaudampfschifffahrtsgesellschaft",
+    "getElementsByClassNameAndTag THIS_IS_A_LONG_CONSTANT_NAME", "-" * 60 + " " + "o" * 40,
+    "keitstlichschenverpf enungtzeinkeitlichch", "o" * 30 + "/" + "=" * 30])
+def test_words_and_rules_are_no_secrets(docs, vocabulary, text):
+    assert scanned(docs((1, text)), vocabulary)[0].spans == ""
+
+
+def test_rest_of_a_touched_string_is_tested(docs, vocabulary):
+    rest = "kQ9ZxW3vTpL7mRb2Yd8HsJq"
+    text = f"{rest}/token=abcdef0123"
+    row = scanned(docs((1, text)), vocabulary)[0]
+    start = text.index("token")
+    assert row.spans == f"opaque:0:{start},assign:{start}:{len(text)}"
+
+
 def test_secrets_of_edges(edge_docs, docs, vocabulary):
     rows = scanned(edge_docs, vocabulary)
     assert len(rows) == len(EDGES)
