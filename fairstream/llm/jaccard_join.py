@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairstream.llm import crowds
 from fairstream.llm.common import stored, texts
 from fairstream.llm.components import components
 from fairstream.llm.shingles import SHINGLE_WORDS, Shingler, grouped, mix
@@ -18,8 +19,12 @@ from fairstream.llm.shingles import SHINGLE_WORDS, Shingler, grouped, mix
 PER_CENT = 75
 #: Counters of the frequency sketch, and of one row of it.
 COUNTERS, BLOCK = 1 << 20, 1 << 12
-#: Seeds of the further global orders, by which candidates are filtered.
+#: Seeds of the further global orders, by which candidates are filtered, and the bits that hold the
+#: prefix of a set under one of them.
 ORDERS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+PREFIX_BITS = 512
+#: Lists by which a set tells where it meets another, and the pairs whose lists are compared at once.
+NAMED, AT_ONCE = 8, 1 << 16
 #: Postings that a task gathers before it passes them on, and documents that share a token within
 #: them from which on only one of them stands for all.
 GATHERED, CROWD = 1 << 18, 16
@@ -27,6 +32,8 @@ GATHERED, CROWD = 1 << 18, 16
 MOST_FILTER_BITS = 1 << 28
 #: What a posting says of its set: number, id that stands for it, component, size, place.
 FIELDS = ("node", "own", "comp", "size", "pos")
+#: What a member of a list brings to the comparison of all that is left.
+MEMBER = ["node", "comp", "size", "pos", "bits", "names"]
 #: Stands for a null id.
 NO_KEY = -(1 << 63)
 
@@ -42,6 +49,19 @@ def node_number(tokens: np.ndarray) -> int:
                           signed=True)
 
 
+def prefix_bits(tokens: np.ndarray) -> bytes:
+    """The prefix of a set under each of the further orders, each as PREFIX_BITS bits.
+
+    Sets whose bits of an order have none in common share no prefix token under it.
+    """
+    p = prefix_length(len(tokens))
+    out = np.zeros((len(ORDERS), PREFIX_BITS), np.uint8)
+    for bits, seed in zip(out, ORDERS):
+        first = np.partition(mix(tokens, seed), p - 1)[:p]
+        bits[(mix(first, 5) % np.uint64(PREFIX_BITS)).astype(np.int64)] = 1
+    return np.packbits(out).tobytes()
+
+
 def _sets(batch, shingler: Shingler) -> Iterator[tuple[int, np.ndarray]]:
     for first, data in grouped(texts(batch)):
         for i, tokens in enumerate(shingler.sets(data)):
@@ -49,9 +69,10 @@ def _sets(batch, shingler: Shingler) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def describe(rows: DataFrame) -> DataFrame:
-    """From ``key, text``: per row ``key, n, node``, and with a ``block`` the sketch's counters.
+    """From ``key, text``: per row ``key, n, node, bits``, and with a ``block`` the sketch's counters.
 
-    The sketch counts tokens by their first bits; it has a fixed size however many there are.
+    ``bits`` marks the prefix tokens under the further orders. The sketch counts tokens by their
+    first bits; it has a fixed size however many there are.
     """
 
     def run(batches):
@@ -64,33 +85,36 @@ def describe(rows: DataFrame) -> DataFrame:
                 counters[:] += np.bincount(found.astype(np.int64), minlength=COUNTERS)
                 waiting.clear()
 
-        def row(keys, sizes, nodes, blocks, counts):
+        def row(keys, sizes, nodes, bits, blocks, counts):
             return pa.RecordBatch.from_arrays(
                 [keys, pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(blocks, pa.int32()), pa.array(counts, pa.binary())],
-                ["key", "n", "node", "block", "counts"])
+                 pa.array(bits, pa.binary()), pa.array(blocks, pa.int32()),
+                 pa.array(counts, pa.binary())],
+                ["key", "n", "node", "bits", "block", "counts"])
 
         held = 0
         for batch in batches:
-            sizes, nodes = [], []
+            sizes, nodes, bits = [], [], []
             for _, tokens in _sets(batch, shingler):
                 sizes.append(len(tokens))
                 nodes.append(node_number(tokens) if len(tokens) else None)
+                bits.append(prefix_bits(tokens) if len(tokens) else None)
                 waiting.append(tokens)
                 held += len(tokens)
                 if held >= COUNTERS:
                     count()
                     held = 0
             none = [None] * len(sizes)
-            yield row(batch.column("key"), sizes, nodes, none, none)
+            yield row(batch.column("key"), sizes, nodes, bits, none, none)
         count()
         if counters.any():
             blocks = counters.reshape(-1, BLOCK)
             none = [None] * len(blocks)
-            yield row(pa.array(none, pa.int64()), none, none, list(range(len(blocks))),
+            yield row(pa.array(none, pa.int64()), none, none, none, list(range(len(blocks))),
                       [np.minimum(b, 2 ** 32 - 1).astype("<u4").tobytes() for b in blocks])
 
-    return rows.mapInArrow(run, "key long, n long, node long, block int, counts binary")
+    return rows.mapInArrow(
+        run, "key long, n long, node long, bits binary, block int, counts binary")
 
 
 def collect_sketch(described: DataFrame) -> np.ndarray:
@@ -332,15 +356,114 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def with_names(lists: DataFrame) -> DataFrame:
+    """``lists`` with ``names``: the first NAMED lists of each node in the first global order."""
+    first = lists.groupBy("node").agg(F.slice(
+        F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, NAMED).alias("first"))
+    padded = F.concat(F.col("first.token"), F.array_repeat(F.lit(NO_KEY), NAMED))
+    return lists.join(first.select("node", F.slice(padded, 1, NAMED).alias("names")), "node")
+
+
+def _meeting(token: int, x, y, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the members of two blocks of a list that are candidates, and are so here.
+
+    They are of different components, fit by sizes and places, and share bits of their prefixes
+    under every further order. Two sets that name a list in common meet in the first such list
+    only, others in each list that they share.
+    """
+    comp, size, pos = ([crowds.numbers(cell, c) for cell in (x, y)]
+                       for c in ("comp", "size", "pos"))
+    rest = np.minimum((size[0] - pos[0])[:, None], (size[1] - pos[1])[None, :])
+    fit = (100 + PER_CENT) * rest >= PER_CENT * (size[0][:, None] + size[1][None, :])
+    fit &= comp[0][:, None] != comp[1][None, :]
+    i, j = np.nonzero(np.triu(fit, 1) if same else fit)
+    if not len(i):
+        return i, j
+    bits = [crowds.matrix(crowds.read_block(cell, "bits"), "<u8") for cell in (x, y)]
+    names = [crowds.read_block(cell, "names").flatten().to_numpy(zero_copy_only=False)
+             .reshape(-1, NAMED) for cell in (x, y)]
+    of_order = PREFIX_BITS // 64
+    kept = []
+    for low in range(0, len(i), AT_ONCE):
+        a, b = i[low:low + AT_ONCE], j[low:low + AT_ONCE]
+        both = (bits[0][a] & bits[1][b]).reshape(len(a), len(ORDERS), of_order)
+        keep = both.any(axis=2).all(axis=1)
+        ours, theirs = names[0][a], names[1][b]
+        common = np.stack([(theirs == ours[:, [c]]).any(axis=1) for c in range(NAMED)], axis=1)
+        common &= ours != NO_KEY
+        first = ours[np.arange(len(a)), common.argmax(axis=1)]
+        kept.append(keep & (~common.any(axis=1) | (first == token)))
+    kept = np.concatenate(kept)
+    return i[kept], j[kept]
+
+
+def _over_blocks(members: DataFrame, columns: list[str]):
+    """The blocks of the members' lists, two by two, and a reader of their Arrow batches."""
+
+    def read(batch):
+        for token, x, y, same in zip(batch.column("list").to_pylist(), batch.column("here"),
+                                     batch.column("there"), batch.column("same").to_pylist()):
+            i, j = _meeting(token, x, y, same)
+            if len(i):
+                yield token, x, y, i, j
+
+    named = members.withColumnRenamed("token", "list")
+    return crowds.block_pairs(named, columns), read
+
+
+def met_in_lists(members: DataFrame) -> DataFrame:
+    """``token, node`` of the members that meet a candidate in a list."""
+    blocks, read = _over_blocks(members, MEMBER)
+
+    def run(batches):
+        for batch in batches:
+            tokens, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for token, x, y, i, j in read(batch):
+                found = np.unique(np.concatenate(
+                    [crowds.numbers(x, "node")[np.unique(i)],
+                     crowds.numbers(y, "node")[np.unique(j)]]))
+                nodes.append(found)
+                tokens.append(np.full(len(found), token))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(v)) for v in (tokens, nodes)], ["token", "node"])
+
+    return blocks.mapInArrow(run, "token long, node long").distinct()
+
+
+def links_in_lists(members: DataFrame) -> DataFrame:
+    """Links ``a, b`` between members of a list, at least one of each to every component that it
+    links with. Sets come with the members; a task takes two blocks and gives links only."""
+    blocks, read = _over_blocks(members, [*MEMBER, "tokens"])
+
+    def run(batches):
+        for batch in batches:
+            a, b = [], []
+            for _, x, y, i, j in read(batch):
+                sets = [[np.frombuffer(t.as_py(), np.uint64)
+                         for t in crowds.read_block(cell, "tokens")] for cell in (x, y)]
+                both = crowds.common_tokens(*sets, i, j)
+                union = crowds.numbers(x, "size")[i] + crowds.numbers(y, "size")[j] - both
+                real = 100 * both >= PER_CENT * union
+                i, j = i[real], j[real]
+                first = crowds.first_of_each(i, crowds.numbers(y, "comp")[j])
+                a.append(crowds.numbers(x, "node")[i[first]])
+                b.append(crowds.numbers(y, "node")[j[first]])
+            yield crowds.pair_batch(a, b)
+
+    return blocks.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row the id, ``n_shingles`` and ``component_id``.
 
     Equal sets are one node. Sets that may link share a prefix token under every global order:
-    tables of shared tokens under the first order give the candidates, places in it and further
-    orders filter them, and what is left is verified. Links inside a component tell nothing new, so tokens first compare
-    their sets with one of them, then with another for each token, and at last all pairs of sets
-    that share a token and are in different components by then. So large groups of near copies
-    never give all their pairs, while every link counts.
+    lists of the sets with a token under the first order give the candidates, places in it and the
+    prefixes under further orders filter them, and what is left is verified. Links inside a
+    component tell nothing new, so tokens first compare their sets with one of them, then with
+    another for each token. Lists that still hold different components are compared block by block:
+    the filters of all orders, as bits that travel with the members, are intersected before sets
+    are fetched, and a task gives links only. So neither large groups of near copies nor crowds
+    just below the threshold give all their pairs as rows, while every link counts.
 
     Null texts and texts without words have no shingles and are linked with nothing. Repeated rows
     get equal rows; a text whose id is null is linked like others, but its id is no component's
@@ -350,12 +473,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(docs[id_col].cast("long").alias("key"),
                        docs[text_col].cast("string").alias("text"))
     described = stored(describe(rows), "described")
-    of_docs = described.where(F.col("block").isNull()).select("key", "n", "node")
+    of_docs = described.where(F.col("block").isNull()).select("key", "n", "node", "bits")
     total = of_docs.agg(F.sum("n")).first()[0] or 0
     ranges = 1 << min(16, max(10, (total >> 20).bit_length()))
     # one document of each node stands for it
     nodes = stored(of_docs.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("key").alias("key"), F.max("n").alias("size")), "nodes")
+        F.min("key").alias("key"), F.max("n").alias("size"), F.first("bits").alias("bits")), "nodes")
     own = nodes.select("node", F.coalesce("key", F.lit(NO_KEY)).alias("own"), "size")
     postings = stored(shared_postings(rows, collect_sketch(described), ranges).distinct()
                       .join(own, "node"), "postings")
@@ -381,36 +504,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     postings_now = postings.withColumn("comp", F.col("node"))
     edges = done = None
-    for turn in ("least", "any", "all"):
-        if turn == "all":
-            pairs = member("a").join(member("b"), "token").where("node_a < node_b")
-        else:
-            rank = F.col("node") if turn == "least" else F.xxhash64("node", "token")
-            hubs = postings_now.groupBy("token").agg(
-                F.min(F.struct(rank.alias("rank"), *FIELDS)).alias("hub"))
-            hubs = hubs.select("token", *(F.col(f"hub.{c}").alias(f"{c}_b") for c in FIELDS))
-            pairs = member("a").join(hubs, "token")
-        pairs = fitting(pairs)
+    for turn in ("least", "any"):
+        rank = F.col("node") if turn == "least" else F.xxhash64("node", "token")
+        hubs = postings_now.groupBy("token").agg(
+            F.min(F.struct(rank.alias("rank"), *FIELDS)).alias("hub"))
+        hubs = hubs.select("token", *(F.col(f"hub.{c}").alias(f"{c}_b") for c in FIELDS))
+        pairs = fitting(member("a").join(hubs, "token"))
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        if edges is not None and pairs.isEmpty():
-            continue
-        keys = pairs.select(F.explode(F.array("own_a", "own_b")).alias("key")).distinct()
-        sets = stored(needed_sets(rows, keys), "sets")
-        pairs = pairs.select("a", "b")
-        found = stored(verified(pairs, sets), "links")
-        edges = found if edges is None else edges.union(found)
-        done = pairs if done is None else done.union(pairs)
-        labels = components(edges)
-        if turn != "all":
-            placed = postings.join(labels, "node", "left") \
-                .withColumn("comp", F.coalesce("comp", "node"))
-            mixed = placed.groupBy("token").agg(F.min("comp").alias("low"),
-                                                F.max("comp").alias("high"),
-                                                F.count(F.lit(1)).alias("sets")) \
-                .where("low <> high and sets > 2").select("token")
-            postings_now = stored(placed.join(mixed, "token", "left_semi"), "postings")
+        if edges is None or not pairs.isEmpty():
+            keys = pairs.select(F.explode(F.array("own_a", "own_b")).alias("key")).distinct()
+            sets = stored(needed_sets(rows, keys), "sets")
+            pairs = pairs.select("a", "b")
+            found = stored(verified(pairs, sets), "links")
+            edges = found if edges is None else edges.union(found)
+            done = pairs if done is None else done.union(pairs)
+            labels = components(edges)
+        placed = postings.join(labels, "node", "left") \
+            .withColumn("comp", F.coalesce("comp", "node"))
+        mixed = placed.groupBy("token").agg(F.min("comp").alias("low"),
+                                            F.max("comp").alias("high"),
+                                            F.count(F.lit(1)).alias("sets")) \
+            .where("low <> high and sets > 2").select("token")
+        postings_now = stored(placed.join(mixed, "token", "left_semi"), "postings")
+    lists = with_names(postings_now).join(nodes.select("node", "bits"), "node")
+    met = stored(met_in_lists(lists), "met")
+    keys = met.join(own, "node").select(F.col("own").alias("key")).distinct()
+    sets = stored(needed_sets(rows, keys).join(met, "node", "left_semi")
+                  .dropDuplicates(["node"]), "sets")
+    members = lists.join(met, ["token", "node"]).join(sets, "node")
+    labels = components(edges.union(stored(links_in_lists(members), "links")))
     placed = nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = placed.groupBy("comp").agg(F.min("key").alias("component_id"))
     of_nodes = stored(placed.join(names, "comp").select("node", "component_id"), "classes")

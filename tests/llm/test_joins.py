@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from fairstream.llm import fingerprints, jaccard_join, metric_tree
+from fairstream.llm import crowds, fingerprints, jaccard_join, metric_tree
 from fairstream.llm.components import components
 from fairstream.llm.shingles import Shingler
 from tests.llm.conftest import EDGES, prose
@@ -91,6 +91,31 @@ def test_chains_of_links_are_one_component(docs):
     assert found_components(docs(*rows)) == want
 
 
+@pytest.mark.parametrize("block", [7, 1024])
+def test_a_crowd_near_the_threshold(docs, monkeypatch, block):
+    monkeypatch.setattr(crowds, "LIST_BLOCK", block)
+    base = prose(8, 120)
+    rows = [(i, edited(base, i, 2 + i % 3)) for i in range(90)]
+    want = brute_components(rows)
+    assert 5 < len({c for _, _, c in want}) < 90
+    assert found_components(docs(*rows)) == want
+
+
+def test_prefix_bits_lose_no_link():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 40, 300, 3000):
+        tokens = rng.integers(0, 1 << 63, n + n // 3, np.uint64)
+        some, other = tokens[:n], tokens[n // 9:n // 9 + n]
+        both = len(np.intersect1d(some, other))
+        assert 100 * both >= 75 * (2 * n - both)
+        bits = [np.frombuffer(jaccard_join.prefix_bits(s), np.uint8).reshape(2, -1)
+                for s in (some, other)]
+        assert (bits[0] & bits[1]).any(axis=1).all()
+    apart = [np.frombuffer(jaccard_join.prefix_bits(np.array([v], np.uint64)), np.uint8)
+             for v in (1, 2)]
+    assert not (apart[0] & apart[1]).any()
+
+
 def test_duplicates_of_edges(edge_docs, docs):
     assert found_components(edge_docs) == brute_components(EDGES)
     assert found_components(docs()) == []
