@@ -364,19 +364,24 @@ def with_names(lists: DataFrame) -> DataFrame:
     return lists.join(first.select("node", F.slice(padded, 1, NAMED).alias("names")), "node")
 
 
-def _meeting(token: int, x, y, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the members of two blocks of a list that are candidates, and are so here.
-
-    They are of different components, fit by sizes and places, and share bits of their prefixes
-    under every further order. Two sets that name a list in common meet in the first such list
-    only, others in each list that they share.
-    """
+def _fitting(x, y, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the members of two blocks of a list that are of different components and fit by
+    sizes and places."""
     comp, size, pos = ([crowds.numbers(cell, c) for cell in (x, y)]
                        for c in ("comp", "size", "pos"))
     rest = np.minimum((size[0] - pos[0])[:, None], (size[1] - pos[1])[None, :])
     fit = (100 + PER_CENT) * rest >= PER_CENT * (size[0][:, None] + size[1][None, :])
     fit &= comp[0][:, None] != comp[1][None, :]
-    i, j = np.nonzero(np.triu(fit, 1) if same else fit)
+    return np.nonzero(np.triu(fit, 1) if same else fit)
+
+
+def _meeting(token: int, x, y, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the members of two blocks of a list that are candidates, and are so here.
+
+    They fit and share bits of their prefixes under every further order. Two sets that name a list
+    in common meet in the first such list only, others in each list that they share.
+    """
+    i, j = _fitting(x, y, same)
     if not len(i):
         return i, j
     bits = [crowds.matrix(crowds.read_block(cell, "bits"), "<u8") for cell in (x, y)]
@@ -397,13 +402,13 @@ def _meeting(token: int, x, y, same: bool) -> tuple[np.ndarray, np.ndarray]:
     return i[kept], j[kept]
 
 
-def _over_blocks(members: DataFrame, columns: list[str]):
-    """The blocks of the members' lists, two by two, and a reader of their Arrow batches."""
+def _over_blocks(members: DataFrame, columns: list[str], pick):
+    """The blocks of the members' lists, two by two, and a reader of the picked pairs in them."""
 
     def read(batch):
         for token, x, y, same in zip(batch.column("list").to_pylist(), batch.column("here"),
                                      batch.column("there"), batch.column("same").to_pylist()):
-            i, j = _meeting(token, x, y, same)
+            i, j = pick(token, x, y, same)
             if len(i):
                 yield token, x, y, i, j
 
@@ -411,9 +416,9 @@ def _over_blocks(members: DataFrame, columns: list[str]):
     return crowds.block_pairs(named, columns), read
 
 
-def met_in_lists(members: DataFrame) -> DataFrame:
-    """``token, node`` of the members that meet a candidate in a list."""
-    blocks, read = _over_blocks(members, MEMBER)
+def _met(members: DataFrame, columns: list[str], pick) -> DataFrame:
+    """``token, node`` of the members that are in a picked pair of a list."""
+    blocks, read = _over_blocks(members, columns, pick)
 
     def run(batches):
         for batch in batches:
@@ -430,10 +435,21 @@ def met_in_lists(members: DataFrame) -> DataFrame:
     return blocks.mapInArrow(run, "token long, node long").distinct()
 
 
+def near_in_lists(members: DataFrame) -> DataFrame:
+    """``token, node`` of the members that some other fits by component, size and place."""
+    return _met(members, ["node", "comp", "size", "pos"],
+                lambda token, x, y, same: _fitting(x, y, same))
+
+
+def met_in_lists(members: DataFrame) -> DataFrame:
+    """``token, node`` of the members that meet a candidate in a list."""
+    return _met(members, MEMBER, _meeting)
+
+
 def links_in_lists(members: DataFrame) -> DataFrame:
     """Links ``a, b`` between members of a list, at least one of each to every component that it
     links with. Sets come with the members; a task takes two blocks and gives links only."""
-    blocks, read = _over_blocks(members, [*MEMBER, "tokens"])
+    blocks, read = _over_blocks(members, [*MEMBER, "tokens"], _meeting)
 
     def run(batches):
         for batch in batches:
@@ -528,7 +544,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                             F.count(F.lit(1)).alias("sets")) \
             .where("low <> high and sets > 2").select("token")
         postings_now = stored(placed.join(mixed, "token", "left_semi"), "postings")
-    lists = with_names(postings_now).join(nodes.select("node", "bits"), "node")
+    left = postings_now.select("token", "node", "comp", "size", "pos")
+    near = left.join(near_in_lists(left), ["token", "node"])
+    lists = stored(with_names(stored(near, "near"))
+                   .join(nodes.select("node", "bits"), "node"), "lists")
     met = stored(met_in_lists(lists), "met")
     keys = met.join(own, "node").select(F.col("own").alias("key")).distinct()
     sets = stored(needed_sets(rows, keys).join(met, "node", "left_semi")
