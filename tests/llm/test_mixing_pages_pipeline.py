@@ -170,6 +170,37 @@ def test_copies_of_a_page_make_no_template(spark):
     assert all(got[40 + i][0] == slots.format(40) + "\n\nOwn part" for i in range(6))
 
 
+def test_template_decides_in_articles(spark):
+    # an unmarked notice inside the article, beside a section of the article's own
+    rows = [(i, "http://h.example/", page(i, f"<article><h1>T {i}</h1><div><p>We moved.</p></div>"
+                                             f"<p>own {i}</p><div><div>part {i}</div></div></article>"))
+            for i in range(6)]
+    # articles that have a section in common, but are too few to tell
+    rows += [(10 + i, "http://few.example/", page(i, f"<article><p>own {i}</p><section><p>same</p>"
+                                                     "</section></article>")) for i in range(2)]
+    got = extracted(spark, rows)
+    assert got[3][0] == "T 3\n\nown 3\n\npart 3"
+    assert got[11][0] == "own 1\n\nsame"
+
+
+def test_classes_in_no_order_or_place_are_no_template(spark):
+    def plain(i, first, second, inner=""):
+        return (f"<html><body><div>{first}</div><div><p>Body {i}</p>{inner}</div>"
+                f"<div>{second}</div></body></html>")
+
+    rows = [(i, "http://order.example/", plain(i, *(("One", "Two") if i % 2 else ("Two", "One"))))
+            for i in range(6)]
+    # on half of the pages an element and its text, now before the body and now after it
+    moved = "<section><h2>Note</h2></section>"
+    rows += [(10 + i, "http://place.example/",
+              plain(i, "One", "Two").replace("<div>Two", (moved if i in (1, 3) else "") + "<div>Two")
+              .replace("<body>", "<body>" + (moved if i == 5 else ""))) for i in range(6)]
+    got = extracted(spark, rows)
+    assert got[3][0] == "One\n\nBody 3\n\nTwo"
+    assert got[12][0] == "Body 2" and got[13][0] == "Body 3\n\nNote"
+    assert got[15][0] == "Note\n\nBody 5"
+
+
 def test_broken_pages(spark):
     rows = [(1, None, None), (2, None, ""), (3, "no url", "plain <b>text</b> &am"),
             (4, "http://h/", "<article><p>cut of"), (5, "http://h/", "<article><p>cut <a href='x"),
