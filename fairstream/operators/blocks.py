@@ -13,6 +13,9 @@ from fairstream.functions.groups import is_a
 PACKED = "coords binary, flags binary"
 # bytes per packed row, so that an Arrow batch of the default 10 000 rows stays near 40 MB
 _ROW_BYTES = 4096
+# packed rows that a task works on at once, so that its matrices stay near 1 MB, however large the
+# batches are that it gets
+_ROWS_AT_ONCE = 256
 
 PointBatches = Iterator[tuple[np.ndarray, np.ndarray]]
 
@@ -44,11 +47,17 @@ def _read_rows(batches: Iterable[pa.RecordBatch], dim: int) -> PointBatches:
                    batch.column(1).to_numpy(zero_copy_only=False).astype(bool))
 
 
-def _read_packed(batches: Iterable[pa.RecordBatch], dim: int) -> PointBatches:
+def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of packed rows in parts that are worked on at once."""
     for batch in batches:
-        if batch.num_rows:
-            yield (bytes_of(batch.column(0), np.float64).reshape(-1, dim),
-                   bytes_of(batch.column(1), np.bool_))
+        for i in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            yield batch.slice(i, _ROWS_AT_ONCE)
+
+
+def _read_packed(batches: Iterable[pa.RecordBatch], dim: int) -> PointBatches:
+    for batch in pieces(batches):
+        yield (bytes_of(batch.column(0), np.float64).reshape(-1, dim),
+               bytes_of(batch.column(1), np.bool_))
 
 
 def is_packed(points: DataFrame) -> bool:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairstream.operators.assign import nearest_two
-from fairstream.operators.blocks import PACKED, bytes_of, map_points, pack_points
+from fairstream.operators.blocks import PACKED, bytes_of, map_points, pack_points, pieces
 from fairstream.operators.moments import Moments
 
 #: Bits of a value in units of its grid, and the bits that are summed apart.
@@ -109,8 +109,9 @@ class Loop:
         reference, dim = self.reference, self.dim
 
         def note(batches):
+            bounds = _bounds(reference, centers)
             for x, flag, old in _read_state(batches, dim):
-                cid, lower, looked = _settle(x, old, reference, centers)
+                cid, lower, looked = _settle(x, old, bounds, centers)
                 starts = np.cumsum([0, *flag.lengths])
                 parts = [(x[a:b], flag.values[a:b], cid[a:b].astype(np.int32), lower[a:b])
                          for a, b in zip(starts[:-1], starts[1:])]
@@ -127,8 +128,8 @@ class Loop:
         k, dim, exponents = len(centers), self.dim, self.exponents
         noted = reference is not None and np.array_equal(reference, centers)
 
-        def add(sums, x, flag, old):
-            cid, _, looked = _settle(x, old, reference, centers)
+        def add(sums, x, flag, old, bounds):
+            cid, _, looked = _settle(x, old, bounds, centers)
             key = 2 * cid + flag
             gap = x - centers[cid]
             cost = np.zeros(len(x))
@@ -143,13 +144,13 @@ class Loop:
         def rows(batches):
             sums = ExactSums(2 * k, exponents)
             for x, flag in batches:
-                add(sums, x, flag, None)
+                add(sums, x, flag, None, None)
             yield sums.batch()
 
         def states(batches):
-            sums = ExactSums(2 * k, exponents)
+            sums, bounds = ExactSums(2 * k, exponents), _bounds(reference, centers)
             for x, flag, old in _read_state(batches, dim):
-                add(sums, x, flag.values, old)
+                add(sums, x, flag.values, old, bounds)
                 if noted:  # the work of this round was done when it was noted
                     sums.add(np.zeros(1, np.int64), 1, np.array([float(old[2])]))
             yield sums.batch()
@@ -193,9 +194,7 @@ class _Flags:
 
 
 def _read_state(batches, dim: int):
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in pieces(batches):
         x = bytes_of(batch.column(0), np.float64).reshape(-1, dim)
         flags = batch.column(1)
         lengths = np.array([len(f.as_buffer()) for f in flags])
@@ -205,21 +204,30 @@ def _read_state(batches, dim: int):
         yield x, _Flags(bytes_of(flags, np.bool_), lengths), old
 
 
-def _settle(x: np.ndarray, old, reference, centers: np.ndarray):
+def _bounds(reference, centers: np.ndarray):
+    """How far the other centers may have come closer to a point of each center since the reference,
+    and half of each center's distance to the nearest other one; None without a reference."""
+    if reference is None:
+        return None
+    moved = np.sqrt(((centers - reference) ** 2).sum(axis=1)) * (1 + _SLACK)
+    most = np.sort(moved)[::-1]
+    # the largest move but one's own
+    closer = np.where(moved == most[0], most[1] if len(most) > 1 else 0.0, most[0])
+    return closer, _half_gaps(centers)
+
+
+def _settle(x: np.ndarray, old, bounds, centers: np.ndarray):
     """Each point's nearest center, a lower bound of the distance to the others, and whether its
     distances to all centers were needed."""
     if old is None:
         cid, _, lower = nearest_two(x, centers)
         return cid, lower, np.ones(len(x), bool)
     cid, lower, _ = old
-    moved = np.sqrt(((centers - reference) ** 2).sum(axis=1)) * (1 + _SLACK)
-    most = np.sort(moved)[::-1]
-    # how far the others may have come closer: the largest move but one's own
-    closer = np.where(moved == most[0], most[1] if len(most) > 1 else 0.0, most[0])
+    closer, half = bounds
     lower = lower - closer[cid]
     gap = x - centers[cid]
     own = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-    needed = ~(own * (1 + _SLACK) < np.maximum(lower, _half_gaps(centers)[cid]) * (1 - _SLACK))
+    needed = ~(own * (1 + _SLACK) < np.maximum(lower, half[cid]) * (1 - _SLACK))
     if needed.any():
         cid, lower = cid.copy(), lower.copy()
         cid[needed], _, lower[needed] = nearest_two(x[needed], centers)

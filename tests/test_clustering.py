@@ -447,3 +447,22 @@ def test_loop_on_no_points_and_zeros(spark, points):
     assert len(rounds.Loop(empty, 2, StorageLevel.MEMORY_ONLY).moments(np.zeros((2, 2))).n) == 0
     zeros = rounds.Loop(points("0,0,A", "0,0,B"), 2, None).moments(np.zeros((1, 2)))
     assert zeros.n.tolist() == [1, 1] and (zeros.mu == 0).all()
+
+
+def test_packed_points_are_worked_on_in_parts():
+    """What a task holds of a batch of packed rows does not grow with the batch."""
+    import pyarrow as pa
+
+    from fairstream.operators.blocks import _read_packed
+
+    def largest(rows):
+        x = [np.full((64, 2), float(i)).tobytes() for i in range(rows)]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.binary()), pa.array([b"\1" * 64] * rows, pa.binary())],
+            ["coords", "flags"])
+        parts = list(_read_packed([batch.slice(1)], 2))
+        assert [v for x, _ in parts for v in x[::64, 0]] == list(range(1, rows))
+        assert sum(len(flag) for _, flag in parts) == 64 * (rows - 1)
+        return max(len(x) for x, _ in parts)
+
+    assert largest(10_000) == largest(5_000)
