@@ -78,6 +78,37 @@ def common_tokens(here: list[np.ndarray], there: list[np.ndarray], i: np.ndarray
     return total[i, j]
 
 
+class Forest:
+    """Picks the links that connect what the links before did not, by union-find over components.
+
+    What was connected is remembered up to MOST ends; then it begins anew, so that its size does not
+    grow with the links.
+    """
+
+    MOST = 1 << 18
+
+    def __init__(self):
+        self._above: dict[int, int] = {}
+
+    def _top(self, x: int) -> int:
+        above = self._above
+        while (up := above.setdefault(x, x)) != x:
+            above[x] = x = above[up]
+        return x
+
+    def connecting(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places of the links between the components a and b that connect something new."""
+        if len(self._above) >= self.MOST:
+            self._above.clear()
+        found = []
+        for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            x, y = self._top(x), self._top(y)
+            if x != y:
+                self._above[x] = y
+                found.append(i)
+        return np.array(found, np.int64)
+
+
 def first_of_each(owner: np.ndarray, comp: np.ndarray) -> np.ndarray:
     """Places of the first link of every owner to every component; others tell nothing new."""
     _, first = np.unique(np.stack((owner, comp), axis=1), axis=0, return_index=True)

@@ -270,10 +270,11 @@ def met_in_lists(members: DataFrame, sketch: np.ndarray) -> DataFrame:
 
 
 def links_in_lists(members: DataFrame) -> DataFrame:
-    """Links ``a, b`` between members of a list, at least one of each to every component that it
-    links with. Sets come with the members, and are compared block by block."""
+    """Links ``a, b`` between members of a list: of those that a task finds, as many as connect all
+    components that they link. Sets come with the members, and are compared block by block."""
 
     def run(batches):
+        forest = crowds.Forest()
         for batch in batches:
             a, b = [], []
             for x, y, same in zip(batch.column("here"), batch.column("there"),
@@ -290,8 +291,10 @@ def links_in_lists(members: DataFrame) -> DataFrame:
                 real = 100 * both >= PER_CENT * (here[2][i] + there[2][j] - both)
                 i, j = i[real], j[real]
                 first = crowds.first_of_each(i, there[1][j])
-                a.append(here[0][i[first]])
-                b.append(there[0][j[first]])
+                i, j = i[first], j[first]
+                new = forest.connecting(here[1][i], there[1][j])
+                a.append(here[0][i[new]])
+                b.append(there[0][j[new]])
             yield crowds.pair_batch(a, b)
 
     return crowds.block_pairs(members, ["node", "comp", "n", "sig", "tokens"]) \

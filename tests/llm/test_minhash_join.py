@@ -105,3 +105,32 @@ def test_query(spark, docs, tmp_path):
     result = op12_minhash_join(spark, str(tmp_path))
     assert result.columns == ["doc_id", "n_shingles", "component_id", "kept"]
     assert sorted(map(tuple, result.collect())) == brute(rows)
+
+
+def test_a_task_gives_no_more_links_than_connect():
+    """A crowd of sets that all link gives links in its number, not in its square."""
+    n = 300
+    a, b = (x.astype(np.int64) for x in np.triu_indices(n, 1))
+    forest = crowds.Forest()
+    assert len(forest.connecting(a[:1000], b[:1000])) + len(forest.connecting(a[1000:], b[1000:])) \
+        == n - 1
+    assert not len(forest.connecting(b, a))
+    # a task that begins anew loses no connection
+    forest.MOST = 2
+    assert forest.connecting(np.array([1, n]), np.array([n, n + 1])).tolist() == [0, 1]
+
+
+def test_links_of_a_crowd_connect_it(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for node in range(40):
+        tokens = np.arange(200, dtype=np.uint64) * np.uint64(7) + np.uint64(1)
+        tokens[rng.integers(0, 200, 2)] += np.uint64(1)
+        tokens = np.unique(tokens)
+        rows.append((5, node, node, len(tokens),
+                     minhash_join.signature(tokens).astype("<u4").tobytes(), tokens.tobytes()))
+    members = spark.createDataFrame(
+        rows, "list long, node long, comp long, n long, sig binary, tokens binary")
+    found = minhash_join.links_in_lists(members).collect()
+    assert len(found) == 39  # 780 pairs link
+    assert len({x for r in found for x in (r["a"], r["b"])}) == 40
