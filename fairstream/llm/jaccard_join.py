@@ -447,11 +447,12 @@ def met_in_lists(members: DataFrame) -> DataFrame:
 
 
 def links_in_lists(members: DataFrame) -> DataFrame:
-    """Links ``a, b`` between members of a list, at least one of each to every component that it
-    links with. Sets come with the members; a task takes two blocks and gives links only."""
+    """Links ``a, b`` between members of a list: of those that a task finds, as many as connect all
+    components that they link. Sets come with the members; a task gives links only."""
     blocks, read = _over_blocks(members, [*MEMBER, "tokens"], _meeting)
 
     def run(batches):
+        forest = crowds.Forest()
         for batch in batches:
             a, b = [], []
             for _, x, y, i, j in read(batch):
@@ -461,9 +462,12 @@ def links_in_lists(members: DataFrame) -> DataFrame:
                 union = crowds.numbers(x, "size")[i] + crowds.numbers(y, "size")[j] - both
                 real = 100 * both >= PER_CENT * union
                 i, j = i[real], j[real]
-                first = crowds.first_of_each(i, crowds.numbers(y, "comp")[j])
-                a.append(crowds.numbers(x, "node")[i[first]])
-                b.append(crowds.numbers(y, "node")[j[first]])
+                comps = [crowds.numbers(cell, "comp") for cell in (x, y)]
+                first = crowds.first_of_each(i, comps[1][j])
+                i, j = i[first], j[first]
+                new = forest.connecting(comps[0][i], comps[1][j])
+                a.append(crowds.numbers(x, "node")[i[new]])
+                b.append(crowds.numbers(y, "node")[j[new]])
             yield crowds.pair_batch(a, b)
 
     return blocks.mapInArrow(run, "a long, b long").distinct()
@@ -496,8 +500,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = stored(of_docs.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("key").alias("key"), F.max("n").alias("size"), F.first("bits").alias("bits")), "nodes")
     own = nodes.select("node", F.coalesce("key", F.lit(NO_KEY)).alias("own"), "size")
-    postings = stored(shared_postings(rows, collect_sketch(described), ranges).distinct()
-                      .join(own, "node"), "postings")
+    # dealt by node once, for both the distinct rows and the join
+    postings = stored(shared_postings(rows, collect_sketch(described), ranges)
+                      .repartition("node").distinct().join(own, "node"), "postings")
 
     def fitting(pairs: DataFrame) -> DataFrame:
         """Pairs of different components that may link, each once, smaller node first.
