@@ -19,10 +19,12 @@ from fairstream.llm.shingles import SHINGLE_WORDS, Shingler, grouped, mix
 PER_CENT = 75
 #: Counters of the frequency sketch, and of one row of it.
 COUNTERS, BLOCK = 1 << 20, 1 << 12
-#: Seeds of the further global orders, by which candidates are filtered, and the bits that hold the
-#: prefix of a set under one of them.
+#: Seeds of the further global orders, by which candidates are filtered, the bits that hold the
+#: prefix of a set under one of them, and the least and most that hold the parities of its tokens.
 ORDERS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-PREFIX_BITS = 512
+PREFIX_BITS, PARITY_BITS = 256, (256, 1 << 14)
+#: Rows of a batch whose texts a task holds at once.
+TEXTS_AT_ONCE = 512
 #: Lists by which a set tells where it meets another, and the pairs whose lists are compared at once.
 NAMED, AT_ONCE = 8, 1 << 16
 #: Postings that a task gathers before it passes them on, and documents that share a token within
@@ -62,17 +64,78 @@ def prefix_bits(tokens: np.ndarray) -> bytes:
     return np.packbits(out).tobytes()
 
 
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """For each of some places whether an odd number of tokens falls there.
+
+    Tokens that two sets share leave no difference, so their bits differ in at most as many places
+    as the sets have tokens that are in one of them only. There are about two to four places for
+    each token, a power of two, so those of a larger set can be folded to those of a smaller one.
+    """
+    least, most = PARITY_BITS
+    n = min(most, max(least, 1 << (2 * len(tokens) - 1).bit_length()))
+    places = (mix(tokens, 7) % np.uint64(n)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=n) & 1).tobytes()
+
+
+class Bits:
+    """What a column of ``prefix_bits`` and ``parity_bits``, joined, tells of its sets."""
+
+    def __init__(self, column):
+        upto = len(ORDERS) * PREFIX_BITS // 8
+        every = column.to_pylist()
+        self.prefixes = np.frombuffer(b"".join(x[:upto] for x in every), "<u8") \
+            .reshape(len(every), len(ORDERS), PREFIX_BITS // 64)
+        self._parities = [x[upto:] for x in every]
+        self.places = np.array([8 * len(x) for x in self._parities], np.int64)
+
+    def folded(self, rows: np.ndarray, places: int) -> np.ndarray:
+        """The parities of some rows, which have so many places or more, in so many places."""
+        out = np.zeros((len(rows), places // 64), np.uint64)
+        for n in np.unique(self.places[rows]):
+            some = np.flatnonzero(self.places[rows] == n)
+            raw = b"".join(self._parities[k] for k in rows[some])
+            out[some] = np.bitwise_xor.reduce(
+                np.frombuffer(raw, "<u8").reshape(len(some), -1, places // 64), axis=1)
+        return out
+
+
+def may_link(x: Bits, y: Bits, i: np.ndarray, j: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the sets ``x[i]`` and ``y[j]``, of so many tokens together, may link by their bits.
+
+    They share bits of the prefixes under every further order. Of two linked sets, no more than
+    (100 - PER_CENT) / (100 + PER_CENT) of both sizes together is in one of them only.
+    """
+    may = np.zeros(len(i), bool)
+    for low in range(0, len(i), AT_ONCE):
+        part = slice(low, low + AT_ONCE)
+        may[part] = (x.prefixes[i[part]] & y.prefixes[j[part]]).any(axis=2).all(axis=1)
+    left = np.flatnonzero(may)
+    places = np.minimum(x.places[i[left]], y.places[j[left]])
+    for n in np.unique(places):
+        of_n = left[places == n]
+        rows, a = np.unique(i[of_n], return_inverse=True)
+        columns, b = np.unique(j[of_n], return_inverse=True)
+        ours, theirs = x.folded(rows, int(n)), y.folded(columns, int(n))
+        step = max(1, 1024 * AT_ONCE // int(n))
+        for low in range(0, len(of_n), step):
+            part = slice(low, low + step)
+            apart = np.bitwise_count(ours[a[part]] ^ theirs[b[part]]).sum(axis=1, dtype=np.int64)
+            may[of_n[part]] = (100 + PER_CENT) * apart <= (100 - PER_CENT) * sizes[of_n[part]]
+    return may
+
+
 def _sets(batch, shingler: Shingler) -> Iterator[tuple[int, np.ndarray]]:
-    for first, data in grouped(texts(batch)):
-        for i, tokens in enumerate(shingler.sets(data)):
-            yield first + i, tokens
+    for low in range(0, batch.num_rows, TEXTS_AT_ONCE):
+        for first, data in grouped(texts(batch.slice(low, TEXTS_AT_ONCE))):
+            for i, tokens in enumerate(shingler.sets(data)):
+                yield low + first + i, tokens
 
 
 def describe(rows: DataFrame) -> DataFrame:
     """From ``key, text``: per row ``key, n, node, bits``, and with a ``block`` the sketch's counters.
 
-    ``bits`` marks the prefix tokens under the further orders. The sketch counts tokens by their
-    first bits; it has a fixed size however many there are.
+    ``bits`` marks the prefix tokens under the further orders, and the parities of all tokens. The
+    sketch counts tokens by their first bits; it has a fixed size however many there are.
     """
 
     def run(batches):
@@ -98,7 +161,7 @@ def describe(rows: DataFrame) -> DataFrame:
             for _, tokens in _sets(batch, shingler):
                 sizes.append(len(tokens))
                 nodes.append(node_number(tokens) if len(tokens) else None)
-                bits.append(prefix_bits(tokens) if len(tokens) else None)
+                bits.append(prefix_bits(tokens) + parity_bits(tokens) if len(tokens) else None)
                 waiting.append(tokens)
                 held += len(tokens)
                 if held >= COUNTERS:
@@ -321,6 +384,24 @@ def needed_sets(rows: DataFrame, keys: DataFrame, words: int = SHINGLE_WORDS) ->
     return rows.mapInArrow(run, "node long, tokens binary")
 
 
+def likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that may link by the bits of ``nodes(node, size, bits)``."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    some = stored(nodes.select("node", "size", "bits").join(ends, "node", "left_semi"), "ends")
+
+    def keep(batches):
+        for batch in batches:
+            row = np.arange(batch.num_rows)
+            may = may_link(Bits(batch.column("x")), Bits(batch.column("y")), row, row,
+                           batch.column("sizes").to_numpy(zero_copy_only=False))
+            yield batch.select(["a", "b", "own_a", "own_b"]).filter(pa.array(may))
+
+    return pairs.join(some.toDF("a", "size_a", "x"), "a").join(some.toDF("b", "size_b", "y"), "b") \
+        .select("a", "b", "own_a", "own_b", "x", "y",
+                (F.col("size_a") + F.col("size_b")).alias("sizes")) \
+        .mapInArrow(keep, "a long, b long, own_a long, own_b long")
+
+
 def shares_prefixes(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets share a prefix token under each of the further orders."""
     for seed in ORDERS:
@@ -378,21 +459,20 @@ def _fitting(x, y, same: bool) -> tuple[np.ndarray, np.ndarray]:
 def _meeting(token: int, x, y, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Places of the members of two blocks of a list that are candidates, and are so here.
 
-    They fit and share bits of their prefixes under every further order. Two sets that name a list
-    in common meet in the first such list only, others in each list that they share.
+    They fit and may link by their bits. Two sets that name a list in common meet in the first such
+    list only, others in each list that they share.
     """
     i, j = _fitting(x, y, same)
     if not len(i):
         return i, j
-    bits = [crowds.matrix(crowds.read_block(cell, "bits"), "<u8") for cell in (x, y)]
+    bits = [Bits(crowds.read_block(cell, "bits")) for cell in (x, y)]
     names = [crowds.read_block(cell, "names").flatten().to_numpy(zero_copy_only=False)
              .reshape(-1, NAMED) for cell in (x, y)]
-    of_order = PREFIX_BITS // 64
+    sizes = [crowds.numbers(cell, "size") for cell in (x, y)]
     kept = []
     for low in range(0, len(i), AT_ONCE):
         a, b = i[low:low + AT_ONCE], j[low:low + AT_ONCE]
-        both = (bits[0][a] & bits[1][b]).reshape(len(a), len(ORDERS), of_order)
-        keep = both.any(axis=2).all(axis=1)
+        keep = may_link(*bits, a, b, sizes[0][a] + sizes[1][b])
         ours, theirs = names[0][a], names[1][b]
         common = np.stack([(theirs == ours[:, [c]]).any(axis=1) for c in range(NAMED)], axis=1)
         common &= ours != NO_KEY
@@ -477,12 +557,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row the id, ``n_shingles`` and ``component_id``.
 
     Equal sets are one node. Sets that may link share a prefix token under every global order:
-    lists of the sets with a token under the first order give the candidates, places in it and the
-    prefixes under further orders filter them, and what is left is verified. Links inside a
+    lists of the sets with a token under the first order give the candidates. Places in it, the
+    prefixes under further orders and a bound on what two sets do not share filter them, all before
+    sets are fetched, and what is left is verified. Links inside a
     component tell nothing new, so tokens first compare their sets with one of them, then with
     another for each token. Lists that still hold different components are compared block by block:
-    the filters of all orders, as bits that travel with the members, are intersected before sets
-    are fetched, and a task gives links only. So neither large groups of near copies nor crowds
+    the filters travel as bits with the members, and a task gives links only. So neither large groups of near copies nor crowds
     just below the threshold give all their pairs as rows, while every link counts.
 
     Null texts and texts without words have no shingles and are linked with nothing. Repeated rows
@@ -535,12 +615,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         if edges is None or not pairs.isEmpty():
+            done = pairs.select("a", "b") if done is None else done.union(pairs.select("a", "b"))
+            pairs = stored(likely_pairs(pairs, nodes), "likely")
             keys = pairs.select(F.explode(F.array("own_a", "own_b")).alias("key")).distinct()
             sets = stored(needed_sets(rows, keys), "sets")
             pairs = pairs.select("a", "b")
             found = stored(verified(pairs, sets), "links")
             edges = found if edges is None else edges.union(found)
-            done = pairs if done is None else done.union(pairs)
             labels = components(edges)
         placed = postings.join(labels, "node", "left") \
             .withColumn("comp", F.coalesce("comp", "node"))

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fairstream.llm import crowds, fingerprints, jaccard_join, metric_tree
@@ -116,6 +117,34 @@ def test_prefix_bits_lose_no_link():
     assert not (apart[0] & apart[1]).any()
 
 
+def both_bits(sets):
+    return jaccard_join.Bits(pa.array(
+        [jaccard_join.prefix_bits(s) + jaccard_join.parity_bits(s) for s in sets], pa.binary()))
+
+
+def test_bits_reject_sets_that_share_too_little_and_no_linked_ones():
+    rng = np.random.default_rng(4)
+    for n in (1, 7, 40, 340, 3300, 30_000):
+        tokens = rng.integers(0, 1 << 63, 3 * n, np.uint64)
+        some = tokens[:n]
+        # a seventh of n apart on either side is the most that links; of n and 3/4 n one holds the other
+        others = [some, tokens[n // 7:n // 7 + n], some[:-(-3 * n // 4)], tokens[n // 2:n // 2 + n]]
+        found = jaccard_join.may_link(
+            both_bits([some]), both_bits(others), np.zeros(4, int), np.arange(4),
+            np.array([n + len(o) for o in others]))
+        assert found[:3].all()
+        assert n < 7 or n > 10_000 or not found[3]
+
+
+def test_crowds_of_long_sets_leave_no_members_to_fetch(docs, monkeypatch):
+    met, find = [], jaccard_join.met_in_lists
+    monkeypatch.setattr(jaccard_join, "met_in_lists", lambda m: met.append(find(m)) or met[-1])
+    passage = prose(31, 500)
+    rows = [(i, f"{passage} {prose(600 + i, 500)}") for i in range(30)]
+    assert found_components(docs(*rows)) == brute_components(rows)
+    assert met[0].count() == 0
+
+
 def test_duplicates_of_edges(edge_docs, docs):
     assert found_components(edge_docs) == brute_components(EDGES)
     assert found_components(docs()) == []
