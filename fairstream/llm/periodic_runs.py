@@ -111,6 +111,23 @@ def distances(size: int) -> np.ndarray:
     return np.arange(-(-(2 * size - 1) // 3), -(-(4 * size - 1) // 3))
 
 
+def recurrences(x: np.ndarray, end_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many words on each word of a document is found again, at the nearest and the farthest.
+
+    A word that is not found again is so at no distance: the nearest is past all, the farthest 0.
+    """
+    place = np.arange(len(x))
+    order = np.lexsort((place, x, end_of))
+    new = np.ones(len(x), bool)
+    new[1:] = (x[order[1:]] != x[order[:-1]]) | (end_of[order[1:]] != end_of[order[:-1]])
+    last = np.append(new[1:], True)[:len(x)]
+    nearest = np.full(len(x), len(x) + 1)
+    nearest[order[:-1][~last[:-1]]] = np.diff(order)[~last[:-1]]
+    farthest = np.zeros(len(x), np.int64)
+    farthest[order] = order[np.flatnonzero(last)][np.cumsum(new) - 1] - order
+    return nearest, farthest
+
+
 class RunFinder:
     """All runs of documents that are given as arrays of word numbers."""
 
@@ -123,10 +140,11 @@ class RunFinder:
         ends = np.cumsum(sizes)
         x = np.concatenate(docs) if docs else np.zeros(0, np.int64)
         end_of = np.repeat(ends, sizes)  # of the document that a word is in
+        again = recurrences(x, end_of)
         runs = np.zeros((0, 3), np.int64)  # start, end, period
         size = 2
         while len(x) and REPEATS * distances(size)[0] <= sizes.max():
-            found = self._at_scale(x, end_of, size, runs)
+            found = self._at_scale(x, end_of, again, size, runs)
             if len(found):
                 # a stretch has the least of the periods that it was found with
                 every = np.concatenate((runs, found))
@@ -140,11 +158,15 @@ class RunFinder:
         rows = np.stack((runs[:, 0] - first[owner], runs[:, 1] - runs[:, 0], runs[:, 2]), axis=1)
         return np.split(rows, np.searchsorted(owner, np.arange(1, len(docs))))
 
-    def _at_scale(self, x, end_of, size: int, runs) -> np.ndarray:
+    def _at_scale(self, x, end_of, again, size: int, runs) -> np.ndarray:
         shifts = distances(size)
         starts = np.arange(0, len(x) - size - shifts[0] + 1, size)
         # a block and its nearest copy must be in one document, long enough for a run
         starts = starts[starts + size + shifts[0] <= end_of[starts]]
+        # and each of its words must be found again at distances of this scale
+        nearest, farthest = again
+        apart = np.concatenate(([0], np.cumsum((nearest > shifts[-1]) | (farthest < shifts[0]))))
+        starts = starts[apart[starts + size] == apart[starts]]
         if not len(starts):
             return runs[:0]
         bound, ahead = size * int(x.max() + 1) ** 2, shifts[0] + np.arange(2 * size)
@@ -250,7 +272,9 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     At every scale, blocks of 2^k words are compared with all windows at the distances that the
     scale is for, by convolution in exact integers; where no word differs, block and distance are a
-    seed that is extended to a whole stretch. Seeds within a run of a shorter period are left out.
+    seed that is extended to a whole stretch. Blocks with a word that is not found again at distances
+    of the scale match no window and are not convolved. Seeds within a run of a shorter period are
+    left out.
 
     Nothing is shuffled, and a task holds one batch of texts. Null and empty texts have no words,
     no runs and an empty ``collapsed``. A very long text is searched in blocks like any other; the

@@ -80,6 +80,26 @@ def test_runs_equal_brute_force():
             assert list(map(tuple, found.tolist())) == brute_runs(words)
 
 
+def test_blocks_of_words_that_do_not_come_again_are_not_convolved(monkeypatch):
+    rows, compare = [], periodic_runs.Correlator.mismatches
+    monkeypatch.setattr(periodic_runs.Correlator, "mismatches",
+                        lambda self, here, *rest: rows.append(here.size) or compare(self, here, *rest))
+    finder = periodic_runs.RunFinder()
+    words = np.arange(3000)
+    assert len(finder.find([words])[0]) == 0 and not rows
+    words[1000:1500] = 1000 + np.arange(500) % 50
+    found = finder.find([words, words[::-1].copy()])
+    assert [f.tolist() for f in found] == [[[1000, 500, 50]], [[1500, 500, 50]]]
+    assert 0 < sum(rows) < 2000
+
+
+def test_nearest_and_farthest_recurrences():
+    x, end_of = np.array([5, 6, 5, 5, 6, 5, 7]), np.repeat([4, 7], [4, 3])
+    nearest, farthest = periodic_runs.recurrences(x, end_of)
+    assert nearest.tolist() == [2, 8, 1, 8, 8, 8, 8]
+    assert farthest.tolist() == [3, 0, 1, 0, 0, 0, 0]
+
+
 def test_one_word_very_often_and_no_repetition():
     finder = periodic_runs.RunFinder()
     assert finder.find([np.zeros(100_000, np.int64)])[0].tolist() == [[0, 100_000, 1]]
