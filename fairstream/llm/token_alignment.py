@@ -19,11 +19,11 @@ from fairstream.llm.common import stored, texts
 
 #: Links that a task gathers into one chunk, whose distinct pairs look up their counts together. A
 #: longer document is a chunk of its own.
-CHUNK_LINKS = 1 << 20
+CHUNK_LINKS = 1 << 19
 #: Characters that are encoded and aligned at once.
 AT_ONCE = 1 << 17
 #: Units and their tokens that a Python worker remembers before it begins anew.
-MOST_UNITS, MOST_TOKENS = 1 << 19, 1 << 22
+MOST_UNITS, MOST_TOKENS = 3 << 17, 3 << 20
 _PER_DOC = ["n_a", "n_b", "n_groups", "n_links"]
 
 
