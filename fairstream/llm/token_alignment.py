@@ -22,8 +22,14 @@ from fairstream.llm.common import stored, texts
 CHUNK_LINKS = 1 << 19
 #: Characters that are encoded and aligned at once.
 AT_ONCE = 1 << 17
-#: Units and their tokens that a Python worker remembers before it begins anew.
+#: Units and their tokens that a Python worker remembers before it forgets those not met again.
 MOST_UNITS, MOST_TOKENS = 3 << 17, 3 << 20
+#: Characters that are letters in every version of Unicode, ASCII characters that are none, and the
+#: marks and digits among these; an apostrophe may stay with letters behind it.
+LETTERS, OTHERS, MARKS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁ", r"\x00-@\[-`{-\x7f", r"!-&(-@\[-`{-~"
+#: Letters, marks or a line feed of which neither end depends on what stands there.
+WORD = (rf"[{LETTERS}]++(?![^{OTHERS}])", rf"[{MARKS}]++(?=[{LETTERS} \n]|\Z)")
+LINE_FEED = rf"\n(?=[{LETTERS}{MARKS}])"
 _PER_DOC = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -75,6 +81,9 @@ def byte_ends(begins: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.n
     return np.where(cut, ends, known + total)
 
 
+is_letter = re.compile(f"[{LETTERS}]").match
+
+
 class Rows:
     """A column of 32-bit integers that grows at its end."""
 
@@ -102,10 +111,11 @@ class Units:
     """Tokens of distinct units, stretches of text whose tokens do not depend on their neighbours.
 
     New units are encoded together, one behind the other as one text, unless ``joins`` says that a
-    unit's own ends would not hold there. Ids and byte ends are kept one behind the other, and of
+    unit's own ends would not hold there. One that does not begin with a space is encoded behind
+    another, whose tokens are left out. Ids and byte ends are kept one behind the other, and of
     each unit where its tokens start, how many there are, its bytes and whether they came back; from
     these the tokens of any run of units are put together. ``row`` says where a unit's row is, by a
-    number that both tokenizers use, or -1.
+    number that both tokenizers use, or -1, and ``again`` whether it was met after it was encoded.
     """
 
     def __init__(self, encode, joins, table: list[bytes]):
@@ -114,63 +124,98 @@ class Units:
         self.forget()
 
     def forget(self) -> None:
-        self.row = Rows()
+        self.row, self.again = Rows(), Rows()
         self.ids, self.ends, self.start, self.n, self.size, self.back = (Rows() for _ in range(6))
 
+    def keep(self, kept: np.ndarray) -> None:
+        """Remembers these units only, which are numbered anew in this order."""
+        rows = self.row.values[kept]
+        known = rows >= 0
+        rows, row = rows[known], np.where(known, np.cumsum(known) - 1, -1)
+        n, size, back = (x.values[rows] for x in (self.n, self.size, self.back))
+        place = self._places(rows)
+        ids, ends = self.ids.values[place], self.ends.values[place]
+        self.forget()
+        for column, more in ((self.row, row), (self.again, np.zeros(len(kept))), (self.ids, ids),
+                             (self.ends, ends), (self.n, n), (self.size, size), (self.back, back),
+                             (self.start, np.cumsum(n, dtype=np.int64) - n)):
+            column.extend(more)
+
+    def make_room(self, n_known: int) -> None:
+        for column, value in ((self.row, -1), (self.again, 0)):
+            column.extend(np.full(n_known - len(column), value))
+
     def rows(self, numbers: np.ndarray, units: list[str], n_known: int) -> np.ndarray:
         """The rows of units, by their numbers below ``n_known``; new units are encoded."""
-        self.row.extend(np.full(n_known - len(self.row), -1))
-        new = np.flatnonzero(self.row.values[numbers] < 0)
+        self.make_room(n_known)
+        found = self.row.values[numbers] >= 0
+        self.again.values[numbers[found]] = 1
+        new = np.flatnonzero(~found)
         if len(new):
             _, first = np.unique(numbers[new], return_index=True)
             new = new[first]
-            joined = np.fromiter((bool(self._joins(units[i])) for i in new), bool, len(new))
-            if joined.any() and not self._add(numbers, units, new[joined]):
+            fresh = np.array([units[i] for i in new.tolist()], object)
+            joined = np.fromiter(map(bool, map(self._joins, fresh)), bool, len(new))
+            if joined.any() and not self._add(numbers[new[joined]], fresh[joined]):
                 joined[:] = False
-            for i in new[~joined]:
-                self._add(numbers, units, np.array([i]), alone=True)
+            for i in np.flatnonzero(~joined):
+                self._add(numbers[new[i:i + 1]], fresh[i:i + 1], alone=True)
         return self.row.values[numbers]
 
-    def _add(self, numbers: np.ndarray, among: list[str], chosen: np.ndarray,
-             alone: bool = False) -> bool:
-        units = [among[i] for i in chosen]
-        text = "".join(units)
+    def _add(self, numbers: np.ndarray, units: np.ndarray, alone: bool = False) -> bool:
+        parts = [part for u in units for part in (self._lead(u), u)]
+        text = "".join(parts)
         data = text.encode()
         ids, begins, ends = self._encode(text, data)
         ends = byte_ends(begins, ends, self.length[ids])
         back = b"".join(self._table[ids].tolist()) == data
-        stop = byte_places(np.cumsum(np.fromiter(map(len, units), np.int64, len(units))), text, data)
-        size = np.diff(stop, prepend=0)
-        upto = np.searchsorted(ends, stop, "right") if back else np.array([len(ids)])
-        n = np.diff(upto, prepend=0)
-        if not alone and not (back and n.all() and (ends[upto - 1] == stop).all()):
+        stop = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        stop = byte_places(stop, text, data)
+        upto = np.searchsorted(ends, stop, "right")
+        begin, size = stop[::2], stop[1::2] - stop[::2]
+        n = (upto[1::2] - upto[::2]) * back
+        if not alone and not (n.all() and (np.append(0, ends)[upto] == stop).all()):
             return False
-        self.row.values[numbers[chosen]] = len(self.n) + np.arange(len(units))
+        self.row.values[numbers] = len(self.n) + np.arange(len(units))
         self.start.extend(len(self.ids) + np.cumsum(n) - n)
-        for column, more in ((self.ids, ids), (self.ends, ends - np.repeat(stop - size, n)),
+        place = np.arange(n.sum()) + np.repeat(upto[::2] - (np.cumsum(n) - n), n)
+        for column, more in ((self.ids, ids[place]), (self.ends, ends[place] - np.repeat(begin, n)),
                              (self.n, n), (self.size, size),
                              (self.back, np.full(len(units), back))):
             column.extend(more)
         return True
 
+    @staticmethod
+    def _lead(unit: str) -> str:
+        """What a unit that does not begin with a space is encoded behind."""
+        return "" if unit[0] == " " else " #" if is_letter(unit) else " a"
+
     def tokens(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, byte ends and the numbers of tokens of units' rows, one behind the other."""
         n, size = self.n.values[rows], self.size.values[rows]
-        upto = np.cumsum(n, dtype=np.int64)
-        place = np.arange(upto[-1] if len(upto) else 0) + np.repeat(
-            self.start.values[rows] - (upto - n), n)
-        before = np.cumsum(size, dtype=np.int64) - size
+        place, before = self._places(rows), np.cumsum(size, dtype=np.int64) - size
         return self.ids.values[place].astype(np.int64), \
             self.ends.values[place] + np.repeat(before, n), n
 
+    def _places(self, rows: np.ndarray) -> np.ndarray:
+        """Where the tokens of units' rows are."""
+        n = self.n.values[rows]
+        upto = np.cumsum(n, dtype=np.int64)
+        return np.arange(upto[-1] if len(upto) else 0) + np.repeat(
+            self.start.values[rows] - (upto - n), n)
+
 
 class Aligner:
     """Encodes texts with both tokenizers and aligns the tokens of a run of texts.
 
-    Neither tokenizer joins bytes over certain spaces, so what stands between these is a unit. A
-    begins a new pre-token at each space before a printable ASCII character. B has no piece with a
-    space behind another character (where a vocabulary has one, texts are units as a whole). Where
-    every space is a single one before such a character, the units of both are the same.
+    Neither tokenizer joins bytes over certain places, so what stands between these is a unit. A
+    begins a new pre-token at each space before another character than white space, at each change
+    between letters and other characters, but for an apostrophe before letters, and at a line feed
+    between two of these. B has no piece with a space behind another character (where a vocabulary
+    has one, texts are units as a whole) and none that holds such a change (where a vocabulary has
+    one, or A's pre-tokens differ, only spaces count). So a word is one unit whatever marks stand
+    around it. Where every space is a single one before such a character, the units of both are the
+    same.
     """
 
     def __init__(self, tokenizer_path: str, model_path: str):
@@ -183,23 +228,55 @@ class Aligner:
         self.bytes_a, self.bytes_b = byte_level_table(self.a), piece_table(self.b)
         self.space = self.b.piece_to_id("▁")
         apart = not any(b" " in x.lstrip(b" ") for x in self.bytes_b)
-        self.split_a = re.compile(r" [^ ]*(?: (?![!-~])[^ ]*)*").findall
-        self.split_b = re.compile(r" +[^ ]*").findall if apart else lambda text: [text]
-        differs = re.compile(r" (?![!-~])").search
+        fine = self._words_apart()
+        self.split_a = self._splitter(" ?", r"(?s:.)[^ ]*(?: (?!\S)[^ ]*)*", fine)
+        self.split_b = self._splitter(" *+", " +[^ ]*|[^ ]+", fine) if apart else \
+            lambda text: [text]
+        differs = re.compile(r" (?!\S)").search
         self.alike = lambda text: apart and not differs(text)
-        self.units_a = Units(self._encode_a, lambda u: "!" <= u[1:2] <= "~", self.bytes_a)
-        self.units_b = Units(self._encode_b, lambda u: apart and u[-1] != " " and "▁" not in u,
-                             self.bytes_b)
-        self._forget()
+        self.units_a = Units(self._encode_a, re.compile(r"[^ ]| \S").match, self.bytes_a)
+        self.units_b = Units(self._encode_b, re.compile(r"[^▁]+(?<! )\Z").match if apart else
+                             lambda unit: False, self.bytes_b)
+        self.numbers = defaultdict(count().__next__)  # of units, in the order of their first use
         self.names = {}
         for key, table, ends in (("a", self.bytes_a, ",|"), ("b", self.bytes_b, ",;")):
             self.names[key] = np.array([f"{i}{end}" for end in ends for i in range(len(table))],
                                        object)
 
+    @staticmethod
+    def _splitter(spaces: str, rest: str, fine: bool):
+        """Cuts a text into units: words where ``fine``, and what else reaches to a space."""
+        words = [*(spaces + word for word in WORD), LINE_FEED] if fine else []
+        return re.compile("|".join([*words, rest])).findall
+
+    def _words_apart(self) -> bool:
+        """Whether both tokenizers part words from marks and line feeds."""
+        parts = [" ab", "#", "cd", "\n", "é", "12", "-", "gh", "'s", "_", "d", "?", "\n", "!"]
+        pre, whole = self.a.pre_tokenizer, "".join(parts)
+        if pre is None or [whole[i:j] for _, (i, j) in pre.pre_tokenize_str(whole)] != parts:
+            return False
+        change = re.compile(rf"[{LETTERS}][{OTHERS}]|[{MARKS}][{LETTERS}\n]|\n[{LETTERS}{MARKS}]")
+        named = (self.b.is_control, self.b.is_unknown)  # never found in a text
+        return not any(change.search(x.decode(errors="replace"))
+                       for i, x in enumerate(self.bytes_b) if not any(f(i) for f in named))
+
     def _forget(self) -> None:
-        self.numbers = defaultdict(count().__next__)  # of units, in the order of their first use
-        self.units_a.forget()
-        self.units_b.forget()
+        """Remembers only units that were met again, or none where that frees too little."""
+        both, names = (self.units_a, self.units_b), list(self.numbers)
+        again = np.zeros(len(names), bool)
+        for units in both:
+            units.make_room(len(names))
+            again |= units.again.values > 0
+        kept = np.flatnonzero(again)
+        for units in both:
+            units.keep(kept)
+        if 4 * len(kept) > 3 * MOST_UNITS \
+                or 4 * max(len(units.ids) for units in both) > 3 * MOST_TOKENS:
+            kept = kept[:0]
+            for units in both:
+                units.forget()
+        self.numbers = defaultdict(count(len(kept)).__next__,
+                                   zip([names[i] for i in kept.tolist()], range(len(kept))))
 
     def _numbers(self, units: list[str]) -> np.ndarray:
         return np.fromiter(map(self.numbers.__getitem__, units), np.int64, len(units))
@@ -395,9 +472,10 @@ def aligned(docs: DataFrame, tokenizer_path: str, model_path: str, id_col: str =
     linked, over the whole table.
 
     A Python worker encodes each distinct unit once, as long as it remembers it. A task writes
-    chunks of documents with their distinct pairs to the shared folder; counts are summed per pair, and every chunk looks up each of its pairs once, so
-    a pair that all documents hold costs a row per chunk. The table of A's highest counts, which
-    is broadcast, has at most a row for each id of its vocabulary.
+    chunks of documents with their distinct pairs to the shared folder; counts are summed per pair,
+    and every chunk looks up each of its pairs once, so a pair that all documents hold costs a row
+    per chunk. The table of A's highest counts, which is broadcast, has at most a row for each id of
+    its vocabulary.
 
     Null and empty texts, and those that either tokenizer does not give back byte by byte, have
     zeros and no groups. Repeated rows count row by row; a null id stays null. A very long text is

@@ -88,6 +88,45 @@ def test_tokens_are_those_of_whole_texts(aligner):
         assert counts.tolist() == [len(p[side]) for p in plain.values()]
 
 
+def test_tokens_around_marks_are_those_of_whole_texts(aligner):
+    rng = random.Random(6)
+    parts = ["word", "Ab", "é", "ñö", "don't", "'s", "'", "'ll", "12", "7", ",", ".", "###", "_", "²",
+             "½", "Ⅷ", "ß", "\n", "\n\n", " ", " ", " ", "  ", "\t", "\r\n", "\x1c", "\xa0", "\u2028",
+             "日本", "́", "я", "α", "ǅ", "ı", "../", "<s>", "{-}", "…", "”", "x"]
+    values = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(4000)]
+    plain = {i: p for i, p in enumerate(plain_tokens(aligner, v) for v in values) if p}
+    for at_once in (1, 50, len(values)):
+        fresh, found = token_alignment.Aligner(*PATHS), {}
+        for at in range(0, len(values) if at_once > 1 else 400, at_once):
+            *sides, used = fresh.encode(values[at:at + at_once])
+            upto = [np.cumsum(counts) for _, _, counts in sides]
+            for k, i in enumerate(used.tolist()):
+                found[at + i] = [ids[u[k] - c[k]:u[k]].tolist()
+                                 for (ids, _, c), u in zip(sides, upto)]
+        assert found == {i: [[t for t, _ in side] for side in p] for i, p in plain.items()
+                         if at_once > 1 or i < 400}
+
+
+def test_marks_make_no_new_units_of_words():
+    words, marks = [f"W{c}ord" for c in "abcdefgh"] + ["üb", "été"], [",", ".", "###", "!!", "\n"]
+    fresh = token_alignment.Aligner(*PATHS)
+    fresh.align([f"{w}{m} {v}{m}{w}" for w in words for v in words for m in marks])
+    assert len(fresh.numbers) == 2 * len(words) + len(marks)
+
+
+def test_units_met_again_are_remembered(aligner, monkeypatch):
+    monkeypatch.setattr(token_alignment, "MOST_UNITS", 60)
+    fresh, added = token_alignment.Aligner(*PATHS), []
+    for units in (fresh.units_a, fresh.units_b):
+        monkeypatch.setattr(units, "_add", lambda numbers, new, alone=False, add=units._add:
+                            (added.extend(new), add(numbers, new, alone))[1])
+    values = [f"often met  again, é x{i}y{i}" for i in range(200)]
+    found = [fresh.align([v]) for v in values]
+    assert added.count(" often") == 2 and len(fresh.numbers) < 80
+    for value, (numbers, _, _, groups) in zip(values, found):
+        assert (*numbers[0].tolist(), groups[0]) == brute(aligner, [(0, value)])[0][1:6]
+
+
 @pytest.mark.parametrize("links", [1, 1 << 22])
 def test_equals_brute_force(docs, aligner, monkeypatch, links):
     monkeypatch.setattr(token_alignment, "CHUNK_LINKS", links)
