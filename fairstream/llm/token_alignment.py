@@ -22,8 +22,10 @@ from fairstream.llm.common import stored, texts
 CHUNK_LINKS = 1 << 19
 #: Characters that are encoded and aligned at once.
 AT_ONCE = 1 << 17
+#: Rows of an Arrow batch whose texts become strings at once.
+ROWS_AT_ONCE = 512
 #: Units and their tokens that a Python worker remembers before it forgets those not met again.
-MOST_UNITS, MOST_TOKENS = 3 << 17, 3 << 20
+MOST_UNITS, MOST_TOKENS = 1 << 18, 1 << 21
 #: Characters that are letters in every version of Unicode, ASCII characters that are none, and the
 #: marks and digits among these; an apostrophe may stay with letters behind it.
 LETTERS, OTHERS, MARKS = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁ", r"\x00-@\[-`{-\x7f", r"!-&(-@\[-`{-~"
@@ -428,7 +430,8 @@ def chunks_of(docs: DataFrame, tokenizer_path: str, model_path: str, digest: boo
             keys.extend(run_keys)
             links += len(pairs)
 
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS_AT_ONCE) for whole in batches
+                      for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
             kind = batch.schema.field("key").type
             waiting, values, n = [], [], 0
             for key, text in zip(batch.column("key").to_pylist(), texts(batch)):
@@ -442,6 +445,8 @@ def chunks_of(docs: DataFrame, tokenizer_path: str, model_path: str, digest: boo
                         yield flush()
             if waiting:
                 take(waiting, values)
+                if links >= CHUNK_LINKS:
+                    yield flush()
         if keys:
             yield flush()
 
