@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from fairstream.session import scratch_dir
 
 #: Rows of which crc32(doc_id as text) leaves this remainder by 4 are never learned from.
 HELD_OUT_REMAINDER = 2
+#: Rows of an Arrow batch that a task turns into strings, and passes on, at once.
+ROWS_AT_ONCE = 512
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,3 +53,10 @@ def sampled(rows: DataFrame, group: str, at_most: int, mix: Column) -> DataFrame
 def texts(batch, name: str = "text") -> list[str]:
     """A column of an Arrow batch as strings, null as empty."""
     return ["" if v is None else v for v in batch.column(name).to_pylist()]
+
+
+def slices(batches) -> Iterator:
+    """The rows of Arrow batches, ``ROWS_AT_ONCE`` at a time: what a task makes of them stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(low, ROWS_AT_ONCE)

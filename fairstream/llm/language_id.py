@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from fairstream.llm.common import sampled, texts
+from fairstream.llm.common import ROWS_AT_ONCE, sampled, slices, texts
 
 #: Texts of a language that are learned from at most, and windows of each of them.
 SAMPLE_TEXTS, SAMPLE_WINDOWS = 400, 3
@@ -155,14 +158,27 @@ def identify(docs: DataFrame, network: ByteNetwork | None, id_cols: list[str],
     probability of the predicted language, windows weighing as many bytes as they hold. A text that
     is null or has no letter, and every text if nothing could be learned, is ``und`` with score 0.
     Repeated rows are classified row by row; other columns are not looked at. Nothing is shuffled.
+    A text among the given columns goes to Python once, and rows come back ``ROWS_AT_ONCE`` or so at
+    a time.
     """
 
     def run(batches):
         probabilities = network.compiled() if network else None
+
+        def rows(batch, labels, scores):
+            kept = [batch.column(i) for i in range(len(id_cols))]
+            return pa.RecordBatch.from_arrays(
+                [*kept, pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
+                [*names, "lang_pred", "score"])
+
         for batch in batches:
-            labels, scores = [], []
-            values = texts(batch, "text of row")
+            labels, scores, first = [], [], 0
+            values = (v for some in slices([batch]) for v in texts(some, read))
             for group in _groups(values, step):
+                if len(labels) >= ROWS_AT_ONCE:
+                    yield rows(batch.slice(first, len(labels)), labels, scores)
+                    first += len(labels)
+                    labels, scores = [], []
                 data = [v.encode() if network and _LETTER.search(v) else b"" for v in group]
                 of_text = [windows(d) for d in data]
                 if not any(data):
@@ -183,20 +199,21 @@ def identify(docs: DataFrame, network: ByteNetwork | None, id_cols: list[str],
                     at += len(w)
                     labels.append(network.classes[int(mean.argmax())])
                     scores.append(min(1.0, float(mean.max())))
-            kept = [batch.column(i) for i in range(len(id_cols))]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
-                [*names, "lang_pred", "score"])
+            yield rows(batch.slice(first), labels, scores)
 
-    narrow = docs.select(*(docs[c].alias(f"c{i}") for i, c in enumerate(id_cols)),
-                         docs[text_col].cast("string").alias("text of row"))
     names = [f"c{i}" for i in range(len(id_cols))]
+    narrow = docs.select(*(docs[c].alias(n) for n, c in zip(names, id_cols)),
+                         docs[text_col].cast("string").alias("text of row"))
+    read = "text of row"
+    own = names[id_cols.index(text_col)] if text_col in id_cols else None
+    if own and narrow.schema[own].dataType == StringType():
+        read, narrow = own, narrow.drop(read)
     schema = ", ".join(f"{n} {narrow.schema[n].dataType.simpleString()}" for n in names)
     found = narrow.mapInArrow(run, f"{schema}, lang_pred string, score double")
     return found.toDF(*id_cols, "lang_pred", "score")
 
 
-def _groups(values: list[str], step: int):
+def _groups(values: Iterable[str], step: int):
     """Runs of texts that hold about so many windows together."""
     group, n = [], 0
     for v in values:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fairstream.llm.common import texts
+from fairstream.llm.common import slices, texts
 from fairstream.llm.secrets import read_ranks
 
 #: A rest below this is not cut further; at its class it leaves at most as much unused.
@@ -126,7 +126,7 @@ def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, si
             return pa.RecordBatch.from_arrays(arrays, _OUT)
 
         key_type = pa.int64()
-        for batch in batches:
+        for batch in slices(batches):
             key_type = batch.schema.field("key").type
             keys, values, rows = batch.column("key").to_pylist(), texts(batch), []
             for key, text in zip(keys, values):

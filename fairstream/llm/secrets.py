@@ -10,7 +10,7 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fairstream.llm.common import texts
+from fairstream.llm.common import slices, texts
 
 # The kinds in their order, and the patterns of the first three.
 KINDS = ("assign", "access", "hex", "opaque")
@@ -129,7 +129,7 @@ def scan_secrets(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str]
                                                   mergeable_ranks=ranks.value))
             return len(encoding[0].encode_ordinary(string))
 
-        for batch in batches:
+        for batch in slices(batches):
             counts, digests, joined, kept = [], [], [], []
             for text, null in zip(texts(batch, "text of row"),
                                   batch.column("text of row").is_null().to_pylist()):
