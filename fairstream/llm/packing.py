@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from fairstream.llm.common import slices, texts
 from fairstream.llm.secrets import read_ranks
@@ -22,20 +23,21 @@ class Ids:
 
     The tokenizer file and the ranks hold one vocabulary, so both give the same ids; the encoder of
     the ranks is about four times as fast. Only a text that holds one of the tokenizer's added
-    tokens is left to the tokenizer file's own encoder, which takes them as such.
+    tokens is left to the tokenizer file's own encoder, which takes them as such; it is read when
+    the first such text comes.
     """
 
-    def __init__(self, tokenizer_path: str, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, tokenizer_path: str, added: list[str], ranks: dict[bytes, int],
+                 pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(tokenizer_path)
-        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.path, self.added, self.whole = tokenizer_path, added, None
         self.encoding = tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=ranks,
                                           special_tokens={})
 
     def of(self, text: str) -> bytes:
         if any(a in text for a in self.added):
+            self.whole = self.whole or Tokenizer.from_file(self.path)
             ids = self.whole.encode(text, add_special_tokens=False).ids
         else:
             ids = self.encoding.encode_ordinary(text)
@@ -110,10 +112,12 @@ def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, si
     occur. Sequences depend on how the scan is split, not on timing.
     """
 
+    own = Tokenizer.from_file(tokenizer_path).get_added_tokens_decoder()
+    added = [t.content for t in own.values()]
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches):
-        ids = Ids(tokenizer_path, ranks.value, pattern)
+        ids = Ids(tokenizer_path, added, ranks.value, pattern)
         end, bins = end_id.to_bytes(4, "little"), Bins(size)
         first = TaskContext.get().partitionId() << 33
 
